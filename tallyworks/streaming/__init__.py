@@ -1,0 +1 @@
+"""No streaming operators: every workload this library covers is a bounded batch job."""
