@@ -3,8 +3,10 @@
 Each step of the algorithm is a function from the name of a word column (or
 lambda variable) to a SQL expression. A step mentions its word many times, so
 steps are never nested into one expression, which would grow exponentially:
-``stem_array`` binds every step to the variable of a ``transform``, and
-``with_stem`` gives every step its own projection.
+``stem_arrays`` binds every step to the variable of a ``transform``, and
+``with_stem`` gives every step its own projection. Of the two, the array form is
+the one for whole corpora: it lets a document make its terms distinct in place,
+where one row per token would need a shuffle of all of them.
 
 Vowels are a, e, i, o, u, and y after a consonant. Every other character,
 digits and capitals included, counts as a consonant.
@@ -97,14 +99,19 @@ def _suffix_table(table: dict[str, str], kept: dict[str, str], measure: str) ->
     """
 
     def step(word: str) -> str:
-        cases = []
+        # Sorted into cases by last letter, so that most words fail a few short tests only.
+        by_letter: dict[str, list[str]] = {}
         for suffix in sorted(table, key=len, reverse=True):
             stem = _cut(word, len(suffix) - len(kept.get(suffix, "")))
             tail = table[suffix][len(kept.get(suffix, "")):]
             changed = f"{stem} || '{tail}'" if tail else stem
-            cases.append(
+            by_letter.setdefault(suffix[-1], []).append(
                 f"WHEN endswith({word}, '{suffix}') THEN if({stem} RLIKE '{measure}', {changed}, {word})"
             )
+        cases = [
+            f"WHEN endswith({word}, '{letter}') THEN CASE {' '.join(tests)} ELSE {word} END"
+            for letter, tests in by_letter.items()
+        ]
         return "CASE " + "\n ".join(cases) + f" ELSE {word} END"
 
     return step
@@ -145,19 +152,23 @@ def with_stem(frame: DataFrame, word: str, stem: str = "stem", revised: bool = T
     return out.withColumn(stem, F.expr(f"if(length(`{word}`) > 2, `{stem}`, `{word}`)"))
 
 
-def with_stem_array(frame: DataFrame, tokens: str, stems: str = "stems", revised: bool = True) -> DataFrame:
-    """Add the stems of an array of tokens, as an array in no particular order.
+def stem_arrays(frame: DataFrame, tokens: str, revised: bool = True) -> tuple[DataFrame, Column]:
+    """The frame with working columns in place of ``tokens``, and the array of all stems over it.
 
     Tokens of one or two characters are passed over by every step, also where a
     longer token has been cut down to the same letters, so they travel apart.
+
+    The stems are an expression, not a column, because they are there to be
+    exploded: Spark puts a filter on the size of an exploded *column* and moves
+    it to the scan, which would run every step twice.
     """
     out = frame.withColumns({
         "_long": F.expr(f"filter(`{tokens}`, w -> length(w) > 2)"),
         "_short": F.expr(f"filter(`{tokens}`, w -> length(w) <= 2)"),
-    })
+    }).drop(tokens)
     for step in porter_steps(revised):
         out = out.withColumn("_long", F.expr(f"transform(_long, w -> {step('w')})"))
-    return out.withColumn(stems, F.concat("_long", "_short")).drop("_long", "_short")
+    return out, F.concat("_long", "_short")
 
 
 def stem_vocabulary(tokens: DataFrame, token: str = "token", revised: bool = True) -> DataFrame:

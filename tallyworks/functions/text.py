@@ -32,11 +32,16 @@ def letters_only(token: ColumnOrName) -> Column:
 def letter_slots(line: ColumnOrName) -> Column:
     """``letters_only`` of every raw token, one array slot per token.
 
-    Cleaning the whole line at once costs two regex passes per line instead of
-    one per token. White space is squeezed to one blank first and the split is
-    on that single blank, so a token without letters keeps its (empty) slot.
+    Cleaning the whole line at once costs one regex pass per line instead of
+    one per token. White space is first brought down to single blanks, where it
+    is not that already, and the split is on the single blank, so a token
+    without letters keeps its (empty) slot.
     """
-    squeezed = F.regexp_replace(as_column(line), r"\s+", " ")
+    line = as_column(line)
+    odd_space = line.contains("  ")
+    for blank in "\t\n\x0b\f\r":
+        odd_space = odd_space | line.contains(blank)
+    squeezed = F.when(odd_space, F.regexp_replace(line, r"\s+", " ")).otherwise(line)
     return F.split(F.lower(F.regexp_replace(squeezed, "[^a-zA-Z ]", "")), " ")
 
 

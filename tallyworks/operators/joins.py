@@ -9,28 +9,32 @@ from pyspark.sql import functions as F
 
 # A key is worth splitting from this many rows on, and at most this many keys are
 # split. The list of split keys is therefore bounded and may be broadcast; any
-# key beyond it holds less than 1 / MAX_HOT_KEYS of its table.
+# key beyond it holds less than 1 / MAX_HOT_KEYS of all rows.
 HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 1_000
+MAX_HOT_KEYS = 2_000
 SALTS = 32
 
 
-def hot_keys(frame: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The heaviest keys with at least ``hot_rows`` rows, most rows first."""
-    return (
-        frame.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        .where((F.col("n") >= hot_rows) & F.col(keys[0]).isNotNull())
-        .orderBy(F.desc("n"), *keys)
+def hot_keys(frames: list[DataFrame], keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``(*keys, hot_in)``: the heaviest keys with at least ``hot_rows`` rows in a frame,
+    with the positions of the frames they are that heavy in."""
+    tagged = [frame.select(*keys, F.lit(i).alias("_frame")) for i, frame in enumerate(frames)]
+    heaviest = (
+        reduce(DataFrame.unionByName, tagged)
+        .groupBy(*keys, "_frame")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") >= hot_rows)
+        .orderBy(F.desc("_n"), *keys)
         .limit(MAX_HOT_KEYS)
-        .select(*keys)
     )
+    return heaviest.groupBy(*keys).agg(F.collect_set("_frame").alias("hot_in"))
 
 
 def salted_inner_join(
     frames: list[DataFrame],
     keys: list[str],
     spread: list[str],
-    hot_rows: int = HOT_ROWS,
+    hot: DataFrame,
     salts: int = SALTS,
 ) -> DataFrame:
     """Inner join of several frames on the same key columns, hot keys spread over many tasks.
@@ -40,7 +44,8 @@ def salted_inner_join(
     of a key that is hot in another frame is repeated once per salt of that
     frame. All frames then join on keys and salts together, so each pair of rows
     still meets exactly once, all joins share one partitioning, and keys that
-    are not hot are left as they are.
+    are not hot are left as they are. Which keys count as hot decides about
+    speed only: ``hot`` may come from the frames before they were filtered.
 
     ``spread`` names one integer column per frame, dropped from the result. A
     task that is run again must find the same value for the same row, so derive
@@ -50,25 +55,18 @@ def salted_inner_join(
     Frames must not share columns other than the keys.
     """
     salt_names = [f"_salt_{i}" for i in range(len(frames))]
-    flags = [
-        hot_keys(frame, keys, hot_rows).select(*keys, F.lit(i).alias("_frame"))
-        for i, frame in enumerate(frames)
-    ]
-    hot = reduce(DataFrame.unionByName, flags).groupBy(*keys).agg(
-        F.collect_set("_frame").alias("_hot_in")
-    )
     salted = []
     for i, frame in enumerate(frames):
-        # The list has at most MAX_HOT_KEYS rows per frame.
+        # ``hot`` has at most MAX_HOT_KEYS rows.
         out = frame.join(F.broadcast(hot), keys, "left")
         for j, name in enumerate(salt_names):
-            is_hot = F.coalesce(F.array_contains("_hot_in", j), F.lit(False))
+            is_hot = F.coalesce(F.array_contains("hot_in", j), F.lit(False))
             if i == j:
                 own = F.pmod(F.col(spread[i]), F.lit(salts)).cast("int")
                 out = out.withColumn(name, F.when(is_hot, own).otherwise(F.lit(0)))
             else:
                 every = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
                 out = out.withColumn(name, F.explode(every))
-        salted.append(out.drop("_hot_in", spread[i]))
+        salted.append(out.drop("hot_in", spread[i]))
     joined = reduce(lambda a, b: a.join(b, [*keys, *salt_names], "inner"), salted)
     return joined.drop(*salt_names)

@@ -25,6 +25,18 @@ def quarantine_by_key(frame: DataFrame, key: str, errors: DataFrame) -> DataFram
     return frame.join(bad, frame[key] == bad["entity_key"], "left_anti")
 
 
+def _pieces(rows: DataFrame, probes: DataFrame) -> DataFrame:
+    """Every piece of every row that is as long as some probe: ``(original_row, piece)``."""
+    # One entry per distinct key length, so this one-row value stays small.
+    lengths = probes.agg(F.collect_set(F.length("probe"))).scalar()
+    return (
+        rows.select("original_row", F.explode(lengths).alias("n"))
+        .where(F.length("original_row") >= F.col("n"))
+        .select("original_row", "n", F.explode(F.expr("sequence(1, length(original_row) - n + 1)")).alias("i"))
+        .select("original_row", F.expr("substring(original_row, i, n)").alias("piece"))
+    )
+
+
 def keys_found_in_rows(keys: DataFrame, errors: DataFrame) -> DataFrame:
     """Those ``keys.entity_key`` for which some ``original_row LIKE '%' || key || '%'`` holds.
 
@@ -38,38 +50,28 @@ def keys_found_in_rows(keys: DataFrame, errors: DataFrame) -> DataFrame:
     checked with LIKE; a key of wildcards alone needs only a row long enough.
     """
     keys = keys.select("entity_key").where(F.col("entity_key").isNotNull()).distinct()
-    parts = F.split("entity_key", r"[%_\\]")
-    longest = F.array_sort(F.transform(parts, lambda p: F.struct(-F.length(p), p.alias("part"))))
+    wildcard = F.col("entity_key").rlike(r"[%_\\]")
+    # literal runs of a pattern, escaped characters among them, and those without their backslash
+    runs = F.regexp_extract_all("entity_key", F.lit(r"((?:\\.|[^%_\\])+)"), 1)
+    literals = F.transform(runs, lambda run: F.regexp_replace(run, r"\\(.)", "$1"))
+    longest = F.array_sort(F.transform(literals, lambda p: F.struct(-F.length(p), p.alias("part"))))
     probes = keys.select(
         "entity_key",
-        F.element_at(longest, 1)["part"].alias("probe"),
-        F.col("entity_key").rlike(r"[%_\\]").alias("wild"),
-        (F.length("entity_key") - F.length(F.regexp_replace("entity_key", "_", ""))).alias("any_chars"),
+        wildcard.alias("wild"),
+        F.when(wildcard, F.coalesce(F.get(longest, 0)["part"], F.lit("")))
+        .otherwise(F.col("entity_key")).alias("probe"),
+        (F.length("entity_key") - F.length(F.replace("entity_key", F.lit("_"), F.lit("")))).alias("any_chars"),
     )
     rows = errors.select("original_row").where(F.col("original_row").isNotNull()).distinct()
 
-    # At most one entry per distinct key length, so this one-row value stays small.
-    lengths = probes.where("probe != ''").agg(F.collect_set(F.length("probe")).alias("n")).scalar()
-    pieces = (
-        rows.select("original_row", F.explode(lengths).alias("n"))
-        .where(F.length("original_row") >= F.col("n"))
-        .select(
-            "original_row",
-            F.explode(F.expr(
-                "array_distinct(transform(sequence(1, length(original_row) - n + 1),"
-                " i -> substring(original_row, i, n)))"
-            )).alias("piece"),
-        )
-    )
     literal = probes.where("NOT wild AND probe != ''")
     found = literal.join(
-        pieces.select("piece").distinct(), literal["probe"] == F.col("piece"), "left_semi"
+        _pieces(rows, literal).select("piece").distinct(), F.col("probe") == F.col("piece"), "left_semi"
     )
     wild = probes.where("wild AND probe != ''")
     found_wild = wild.join(
-        pieces,
-        (wild["probe"] == pieces["piece"])
-        & F.expr(r"original_row LIKE concat('%', entity_key, '%')"),
+        _pieces(rows, wild),
+        F.expr("probe = piece AND original_row LIKE concat('%', entity_key, '%')"),
         "left_semi",
     )
     longest_row = rows.agg(F.max(F.length("original_row"))).scalar()

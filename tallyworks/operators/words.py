@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions import text as T
-from tallyworks.functions.stemming import with_stem_array
+from tallyworks.functions.stemming import stem_arrays
 from tallyworks.operators.ranking import top_k
 
 # Word lists up to this many rows are sent to every task without asking.
@@ -74,9 +74,10 @@ def document_terms(
     """
     columns = [] if key is None else [key]
     tokens = corpus.select(*columns, F.array_distinct(T.letter_digit_tokens(text)).alias("tokens"))
+    found = F.col("tokens")
     if stemmed:
-        tokens = with_stem_array(tokens, "tokens", "tokens", revised)
-    terms = tokens.select(*columns, F.explode(F.array_distinct("tokens")).alias("term")).where("term != ''")
+        tokens, found = stem_arrays(tokens, "tokens", revised)
+    terms = tokens.select(*columns, F.explode(F.array_distinct(found)).alias("term")).where("term != ''")
     return terms if key is None else terms.dropDuplicates([key, "term"])
 
 
@@ -99,6 +100,13 @@ def top_terms(frequencies: DataFrame, k: int = 100) -> DataFrame:
     return top_k(frequencies, [F.desc("df"), F.asc("term")], k)
 
 
+def _stemmed_occurrences(corpus: DataFrame, key: str, text: str, normalize: bool, revised: bool) -> DataFrame:
+    """``(doc_id, term)``, one row per token."""
+    tokens = T.letter_digit_tokens(text) if normalize else T.raw_tokens(text)
+    frame, stems = stem_arrays(corpus.select(F.col(key).alias("doc_id"), tokens.alias("tokens")), "tokens", revised)
+    return frame.select("doc_id", F.explode(stems).alias("term")).where("term != ''")
+
+
 def term_frequency(
     corpus: DataFrame,
     vocabulary: DataFrame,
@@ -113,9 +121,7 @@ def term_frequency(
     Tokens keep case and punctuation before stemming, so ``State,`` does not
     count for ``state``. ``normalize`` cleans them as ``document_frequency`` does.
     """
-    tokens = T.letter_digit_tokens(text) if normalize else T.raw_tokens(text)
-    stems = with_stem_array(corpus.select(F.col(key).alias("doc_id"), tokens.alias("tokens")), "tokens", "tokens", revised)
-    terms = stems.select("doc_id", F.explode("tokens").alias("term")).where("term != ''")
+    terms = _stemmed_occurrences(corpus, key, text, normalize, revised)
     return (
         keep_listed(terms, "term", vocabulary, vocabulary_rows)
         .groupBy("doc_id", "term")
@@ -134,21 +140,22 @@ def tf_idf(
     revised: bool = True,
     vocabulary_rows: int | None = None,
 ) -> DataFrame:
-    """``(doc_id, term, tfidf)`` against a ``(term, df)`` table.
+    """``(doc_id, term, tfidf)`` against a ``(term, df)`` table with one row per term.
 
-    ``n_docs`` is a number, or is counted from the corpus when not given.
+    The table both selects the terms and brings their frequency, in one join, so
+    no term is ever without one. ``n_docs`` is a number, or is counted from the
+    corpus when not given.
     """
     if n_docs is None:
         n_docs = corpus.agg(F.countDistinct(key)).scalar()
     elif not isinstance(n_docs, Column):
         n_docs = F.lit(n_docs)
-    table = as_small_list(
-        frequencies.select(F.col("term").alias("_term"), F.col("df").alias("df")), vocabulary_rows
-    )
-    counts = term_frequency(
-        corpus, frequencies.select("term"), key, text, normalize, revised, vocabulary_rows
-    )
-    weight = T.inverse_document_frequency(n_docs, F.coalesce("df", F.lit(0)), idf)
-    return counts.join(table, counts["term"] == table["_term"], "left").select(
-        "doc_id", "term", (F.col("tf") * weight).alias("tfidf")
+    listed = as_small_list(frequencies.select(F.col("term").alias("_term"), "df"), vocabulary_rows)
+    terms = _stemmed_occurrences(corpus, key, text, normalize, revised)
+    counts = (
+        terms.join(listed, terms["term"] == listed["_term"])
+        .groupBy("doc_id", "term", "df")
+        .agg(F.count(F.lit(1)).alias("tf"))
     )
+    weight = T.inverse_document_frequency(n_docs, F.col("df"), idf)
+    return counts.select("doc_id", "term", (F.col("tf") * weight).alias("tfidf"))

@@ -8,13 +8,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyworks.sources import records, schemas
+from tallyworks.sources.partitioning import spread_small
 from tallyworks.sources.corpus import lines_of
 
 
+_schemas: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One of the given tables. Its schema is read from the file once per process."""
+    path = f"{folder}/{name}.parquet"
+    if (folder, name) not in _schemas:
+        _schemas[folder, name] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[folder, name]).parquet(path)
 
 
 def roster(spark: SparkSession, folder: str) -> DataFrame:
@@ -158,7 +167,7 @@ def enrollment(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", "text")
+    return spread_small(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
 
 
 def corpus_lines(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions import records as R
 from tallyworks.operators import quality, quarantine
-from tallyworks.operators.joins import HOT_ROWS, salted_inner_join
+from tallyworks.operators.joins import HOT_ROWS, hot_keys, salted_inner_join
 
 KEYS = ["student_id", "course"]
 
@@ -74,23 +76,27 @@ def build_warehouse(
     rows with the broken keys of all sources therefore does the work of three.
     Rows without a key could stay in a source but never reach the join.
     """
-    bad = (
-        quality.broken_keys(attendance, quality.attendance_checks())
-        .unionByName(quality.broken_keys(enrollment, quality.enrollment_checks()))
-        .unionByName(quality.broken_keys(grades, quality.grade_roster_checks()))
-    )
+    logs = [
+        quality.error_log(attendance, quality.attendance_checks()),
+        quality.error_log(enrollment, quality.enrollment_checks()),
+        quality.error_log(grades, quality.grade_roster_checks()),
+    ]
+    bad = reduce(DataFrame.unionByName, [log.select("entity_key") for log in logs])
     row_number = F.monotonically_increasing_id()
-    numbered = _enrollment_columns(enrollment.withColumn("_e", row_number), "_e")
     distinct_grades = grades.distinct().withColumn("_g", F.xxhash64(*grades.columns))
+    numbered_enrollment = _enrollment_columns(enrollment.withColumn("_e", row_number), "_e")
+    hot = hot_keys(
+        [_enrollment_columns(enrollment), _attendance_columns(attendance), _grade_columns(grades)], KEYS, hot_rows
+    )
     joined = salted_inner_join(
         [
-            quarantine.quarantine_by_key(numbered, "student_id", bad),
+            quarantine.quarantine_by_key(numbered_enrollment, "student_id", bad),
             _attendance_columns(attendance.withColumn("_a", row_number), "_a"),
             _grade_columns(distinct_grades, "_g"),
         ],
         KEYS,
         ["_e", "_a", "_g"],
-        hot_rows,
+        hot,
     )
     return _fact_table(joined)
 

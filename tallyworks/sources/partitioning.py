@@ -1,0 +1,21 @@
+"""Giving small inputs enough tasks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+SMALL_BYTES = 256 * 1024 * 1024
+
+
+def spread_small(frame: DataFrame, key: str, small_bytes: int = SMALL_BYTES) -> DataFrame:
+    """Spread the rows of a small input over all cores.
+
+    A columnar file is never split within a row group, so an input of a few
+    hundred megabytes may run text parsing in one or two tasks. Shuffling that
+    much is cheap. A larger input has tasks enough and is returned as it is: it
+    is never shuffled for this. The size is the optimizer's, from the file sizes.
+    """
+    size = int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size > small_bytes:
+        return frame
+    return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism, key)
