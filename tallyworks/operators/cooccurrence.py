@@ -61,55 +61,44 @@ def gap_counts(
     """
     _check(distance, local_agg)
     if local_agg == "line":
-        per_line = line_gap_counts(lines, vocabulary, distance, line)
-        return per_line.groupBy("gap", "word", "neighbor").agg(F.sum("n").alias("n"))
+        return _gap_counts_by_line(lines, vocabulary, distance, line)
     occurrences = gap_occurrences(lines, vocabulary, distance, line, vocabulary_rows)
     return occurrences.groupBy("gap", "word", "neighbor").agg(F.count(F.lit(1)).alias("n"))
 
 
-def line_gap_counts(lines: DataFrame, vocabulary: DataFrame, distance: int, line: str = "line") -> DataFrame:
-    """``(gap, word, neighbor, n)`` once per line that has the pair, counted inside the line.
+def _gap_counts_by_line(lines: DataFrame, vocabulary: DataFrame, distance: int, line: str) -> DataFrame:
+    """``gap_counts`` with the pairs of a line counted inside the line.
 
-    No shuffle: the pairs of a line become numbers, are sorted in their array
-    and counted by run length. The vocabulary travels as one array value, which
-    suits lists of up to a few hundred words.
+    No shuffle before the counts are summed: each pair of a line becomes one
+    number, the numbers are sorted in their array and counted by run length. The
+    vocabulary travels with the lines as one array, which suits lists of up to a
+    few hundred words; without such a bound use another ``local_agg``.
     """
     listed = vocabulary.toDF("w").agg(F.array_sort(F.collect_set("w")).alias("listed")).scalar()
     slots = lines.select(T.letter_slots(line).alias("slots"), listed.alias("listed"))
-    numbered = slots.select("listed", F.expr("transform(slots, w -> array_position(listed, w))").alias("p"))
-    # (gap, word, neighbor) as one number, base size + 1; 0 where a word is not listed
+    numbered = slots.select(
+        F.expr("transform(slots, w -> array_position(listed, w))").alias("p"),
+        (F.size("listed") + F.lit(1)).cast("long").alias("base"),
+    )
+    # (gap, word, neighbor) as one number; 0 where a word is not listed
     by_gap = [
-        "zip_with(p, slice(p, {0} + 1, greatest(size(p), 1)), (a, b) -> if(a > 0 AND b > 0, "
-        "({0} * (size(listed) + 1L) + a) * (size(listed) + 1L) + b, 0L))".format(gap)
+        f"zip_with(p, slice(p, {gap} + 1, greatest(size(p), 1)),"
+        f" (a, b) -> if(a > 0 AND b > 0, ({gap} * base + a) * base + b, 0L))"
         for gap in range(1, distance + 1)
     ]
-    codes = F.expr(f"array_sort(filter(concat({', '.join(by_gap)}), c -> c > 0))")
-    coded = numbered.select("listed", codes.alias("codes"))
-    ends = coded.select(
-        "listed",
-        "codes",
-        F.expr(
-            "filter(transform(codes, (c, i) -> if(c <=> get(codes, i + 1), -1, i)), i -> i >= 0)"
-        ).alias("ends"),
-    )
-    runs = ends.select(
-        "listed",
+    coded = numbered.select(F.expr(f"array_sort(filter(concat({', '.join(by_gap)}), c -> c > 0))").alias("codes"))
+    run_ends = "filter(transform(codes, (c, i) -> if(c <=> get(codes, i + 1), -1, i)), i -> i >= 0)"
+    runs = coded.select("codes", F.expr(run_ends).alias("ends")).select(
         F.inline(F.expr(
-            "transform(ends, (e, i) -> struct(codes[e] AS code, e - coalesce(get(ends, i - 1), -1) AS n))"
-        )),
-    )
-    base = F.size("listed") + F.lit(1)
-    decoded = runs.select(
-        "listed", "n",
-        (F.col("code") % base).cast("int").alias("b"),
-        (F.floor(F.col("code") / base) % base).cast("int").alias("a"),
-        F.floor(F.col("code") / (base * base)).cast("int").alias("gap"),
+            "transform(ends, (e, i) -> struct(codes[e] AS code, CAST(e - coalesce(get(ends, i - 1), -1) AS LONG) AS n))"
+        ))
     )
-    return decoded.select(
-        "gap",
-        F.element_at("listed", F.col("a")).alias("word"),
-        F.element_at("listed", F.col("b")).alias("neighbor"),
-        F.col("n").cast("long").alias("n"),
+    counts = runs.groupBy("code").agg(F.sum("n").alias("n")).select("code", "n", listed.alias("listed"))
+    return counts.withColumn("base", (F.size("listed") + F.lit(1)).cast("long")).selectExpr(
+        "CAST(code DIV (base * base) AS INT) AS gap",
+        "listed[CAST(code DIV base % base AS INT) - 1] AS word",
+        "listed[CAST(code % base AS INT) - 1] AS neighbor",
+        "n",
     )
 
 

@@ -15,6 +15,8 @@ def spread_small(frame: DataFrame, key: str, small_bytes: int = SMALL_BYTES) ->
     much is cheap. A larger input has tasks enough and is returned as it is: it
     is never shuffled for this. The size is the optimizer's, from the file sizes.
     """
+    if not hasattr(frame, "_jdf"):  # a remote session does not show its estimates
+        return frame
     size = int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     if size > small_bytes:
         return frame

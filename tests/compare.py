@@ -44,6 +44,19 @@ def sql_table(connection, sql):
     return _table([d[0] for d in result.description], result.fetchall())
 
 
+# Column types of the two engines that hold the same values.
+SAME_TYPE = {
+    "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT",
+    "boolean": "BOOLEAN", "date": "DATE",
+}
+
+
+def type_difference(frame, connection, sql) -> str | None:
+    described = {r[0]: r[1] for r in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    wrong = [(n, t, described.get(n)) for n, t in frame.dtypes if SAME_TYPE.get(t) != described.get(n)]
+    return f"types {wrong}" if wrong else None
+
+
 def difference(frame, connection, sql) -> str | None:
     """A short description of the first difference, or None."""
     names, rows = spark_table(frame)
@@ -78,7 +91,9 @@ def main() -> None:
     for name in sys.argv[2:] or queries:
         start = time.time()
         try:
-            problem = difference(queries[name](spark, folder), connection, oracles[name])
+            frame = queries[name](spark, folder)
+            problem = type_difference(frame, connection, oracles[name])
+            problem = problem or difference(frame, connection, oracles[name])
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         print(f"{name}: {'ok' if problem is None else problem} ({time.time() - start:.1f}s)", flush=True)
