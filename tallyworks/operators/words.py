@@ -45,7 +45,12 @@ def word_tokens(
 def word_count(
     corpus: DataFrame, text: str = "text", stop_words: DataFrame | None = None, case_sensitive: bool = False
 ) -> DataFrame:
-    """``(word, n)``. Stop words are dropped from the counts, not from every occurrence."""
+    """``(word, n)``.
+
+    Stop words are dropped from the counts. Spark moves that below the
+    aggregation when the list is small enough to broadcast; a long list meets
+    only the counted words, not every occurrence.
+    """
     tokens = word_tokens(corpus, text, None, case_sensitive)
     counts = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return counts if stop_words is None else drop_listed(counts, "word", stop_words)

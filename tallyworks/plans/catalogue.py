@@ -44,7 +44,8 @@ def catalogue() -> dict[str, Query]:
 
 
 def _stop_words(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
+    rows = ", ".join(f"('{w}')" for w in STOP_WORDS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS stop(word)")
 
 
 def _vocabulary(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,21 +8,26 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may do without the setting; it gets a temporary folder,
-    once per session.
+    Only a local session may do without the setting; it gets one temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tallyworks-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tallyworks-")
+    return _local_folders[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -12,9 +12,10 @@ def read_corpus_lines(spark: SparkSession, path: str) -> DataFrame:
     ``doc_id`` is the file name without ``.txt``. Files are split across tasks
     and lines carry no number: no corpus operator needs more than the line.
     """
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    # The name comes in URL form, where a plus sign stands for itself.
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
     return spark.read.text(path).select(
-        F.replace(F.url_decode(name), F.lit(".txt"), F.lit("")).alias("doc_id"),
+        F.replace(name, F.lit(".txt"), F.lit("")).alias("doc_id"),
         F.col("value").alias("line"),
     )
 

@@ -82,6 +82,18 @@ def test_cooccurrence_shuffles_counts_only(spark, name):
     assert "hashpartitioning(doc_id" in counting
 
 
+@pytest.mark.parametrize("name", ["word_count", "cooc_pairs_d1", "cooc_pairs_line_agg", "document_frequency", "roster_avg"])
+def test_tasks_aggregate_before_they_shuffle(spark, name):
+    text = plan(catalogue.catalogue()[name](spark, FOLDER))
+    exchanges = text.count("Exchange hashpartitioning") - text.count("REPARTITION_BY_NUM")
+    assert text.count("functions=[partial_") >= exchanges > 0
+
+
+def test_a_short_stop_word_list_is_broadcast(spark):
+    text = plan(catalogue.document_frequency(spark, FOLDER))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
 def test_stems_are_computed_once_per_token(spark):
     text = plan(catalogue.document_frequency(spark, FOLDER))
     assert "Filter ((size(" not in text

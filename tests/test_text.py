@@ -53,8 +53,9 @@ def test_idf(spark):
 def test_corpus_files(spark, tmp_path):
     (tmp_path / "1001.txt").write_text("one line\nand another\n")
     (tmp_path / "a b.txt").write_text("third\n")
+    (tmp_path / "c+d%20.txt").write_text("fourth")
     rows = sorted(tuple(r) for r in corpus.read_corpus_lines(spark, str(tmp_path)).collect())
-    assert rows == [("1001", "and another"), ("1001", "one line"), ("a b", "third")]
+    assert rows == [("1001", "and another"), ("1001", "one line"), ("a b", "third"), ("c+d%20", "fourth")]
 
 
 def test_word_lists(spark, tmp_path):
