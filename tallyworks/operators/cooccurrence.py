@@ -27,23 +27,23 @@ def _check(distance: int, local_agg: str) -> None:
         raise ValueError(f"local_agg must be one of {LOCAL_AGGREGATIONS}, not {local_agg!r}")
 
 
-def gap_occurrences(
-    lines: DataFrame, vocabulary: DataFrame, distance: int, line: str = "line", vocabulary_rows: int | None = None
-) -> DataFrame:
+def gap_occurrences(lines: DataFrame, vocabulary: DataFrame, distance: int, line: str = "line") -> DataFrame:
     """``(word, gap, neighbor)``, one row per occurrence, ``neighbor`` to the right of ``word``.
 
     Each slot is laid beside the ``distance`` slots after it. Slots whose own
     word is not listed go before their neighbours are unfolded.
     """
     slots = lines.select(T.letter_slots(line).alias("w0"))
-    shifted = [F.slice("w0", gap + 1, F.greatest(F.size("w0"), F.lit(1))).alias(f"w{gap}") for gap in range(1, distance + 1)]
-    windows = slots.select("w0", *shifted).select(F.inline(F.arrays_zip("w0", *[f"w{g}" for g in range(1, distance + 1)])))
-    listed = keep_listed(windows.where("w0 != ''"), "w0", vocabulary, vocabulary_rows)
+    n_slots = F.greatest(F.size("w0"), F.lit(1))
+    shifted = [F.slice("w0", gap + 1, n_slots).alias(f"w{gap}") for gap in range(1, distance + 1)]
+    side_by_side = F.arrays_zip(*[f"w{gap}" for gap in range(distance + 1)])
+    windows = slots.select("w0", *shifted).select(F.inline(side_by_side))
+    listed = keep_listed(windows.where("w0 != ''"), "w0", vocabulary)
     neighbors = F.array(*[
         F.struct(F.lit(gap).alias("gap"), F.col(f"w{gap}").alias("neighbor")) for gap in range(1, distance + 1)
     ])
     pairs = listed.select(F.col("w0").alias("word"), F.inline(neighbors)).where("neighbor != ''")
-    return keep_listed(pairs, "neighbor", vocabulary, vocabulary_rows)
+    return keep_listed(pairs, "neighbor", vocabulary)
 
 
 def gap_counts(
@@ -52,7 +52,6 @@ def gap_counts(
     distance: int,
     line: str = "line",
     local_agg: str = "task",
-    vocabulary_rows: int | None = None,
 ) -> DataFrame:
     """``(gap, word, neighbor, n)`` for gaps 1 to ``distance``.
 
@@ -62,7 +61,7 @@ def gap_counts(
     _check(distance, local_agg)
     if local_agg == "line":
         return _gap_counts_by_line(lines, vocabulary, distance, line)
-    occurrences = gap_occurrences(lines, vocabulary, distance, line, vocabulary_rows)
+    occurrences = gap_occurrences(lines, vocabulary, distance, line)
     return occurrences.groupBy("gap", "word", "neighbor").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -118,10 +117,9 @@ def cooccurrence_pairs(
     distance: int = 1,
     line: str = "line",
     local_agg: str = "task",
-    vocabulary_rows: int | None = None,
 ) -> DataFrame:
     """``(word, neighbor, n)`` within ``distance``."""
-    counts = gap_counts(lines, vocabulary, distance, line, local_agg, vocabulary_rows)
+    counts = gap_counts(lines, vocabulary, distance, line, local_agg)
     return mirrored(counts).groupBy("word", "neighbor").agg(F.sum("n").alias("n"))
 
 
@@ -131,13 +129,12 @@ def distance_sweep(
     max_distance: int = 4,
     line: str = "line",
     local_agg: str = "task",
-    vocabulary_rows: int | None = None,
 ) -> DataFrame:
     """``(d, word, neighbor, n)`` for every distance 1 to ``max_distance``, from one pass.
 
     A gap counts for every distance at least as large.
     """
-    counts = mirrored(gap_counts(lines, vocabulary, max_distance, line, local_agg, vocabulary_rows))
+    counts = mirrored(gap_counts(lines, vocabulary, max_distance, line, local_agg))
     distances = F.sequence(F.col("gap"), F.lit(max_distance))
     return (
         counts.withColumn("d", F.explode(distances))

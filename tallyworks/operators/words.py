@@ -9,28 +9,20 @@ from tallyworks.functions import text as T
 from tallyworks.functions.stemming import stem_arrays
 from tallyworks.operators.ranking import top_k
 
-# Word lists up to this many rows are sent to every task without asking.
-MAX_LIST = 100_000
+# Word lists carry no broadcast hint. Spark broadcasts one when its size is below
+# ``spark.sql.autoBroadcastJoinThreshold``, and knows that size for the result of a
+# ``limit`` as well as for a file; a list that is too large is shuffled.
 
 
-def as_small_list(words: DataFrame, rows: int | None) -> DataFrame:
-    """Mark a list for broadcast when its length is bounded by ``rows``.
-
-    With no known bound the list is returned as it is, and Spark broadcasts it
-    only when the size it measures is below its own threshold.
-    """
-    return F.broadcast(words) if rows is not None and rows <= MAX_LIST else words
-
-
-def keep_listed(frame: DataFrame, column: str, words: DataFrame, rows: int | None = None) -> DataFrame:
+def keep_listed(frame: DataFrame, column: str, words: DataFrame) -> DataFrame:
     """Rows whose ``column`` is in the one-column list ``words``."""
-    listed = as_small_list(words.toDF("_listed"), rows)
+    listed = words.toDF("_listed")
     return frame.join(listed, frame[column] == listed["_listed"], "left_semi")
 
 
-def drop_listed(frame: DataFrame, column: str, words: DataFrame, rows: int | None = None) -> DataFrame:
+def drop_listed(frame: DataFrame, column: str, words: DataFrame) -> DataFrame:
     """Rows whose ``column`` is not in the one-column list ``words``."""
-    listed = as_small_list(words.where(F.col(words.columns[0]).isNotNull()).toDF("_listed"), rows)
+    listed = words.toDF("_listed").where("_listed IS NOT NULL")
     return frame.join(listed, frame[column] == listed["_listed"], "left_anti")
 
 
@@ -119,7 +111,6 @@ def term_frequency(
     text: str = "text",
     normalize: bool = False,
     revised: bool = True,
-    vocabulary_rows: int | None = None,
 ) -> DataFrame:
     """``(doc_id, term, tf)`` for terms of the one-column vocabulary.
 
@@ -128,7 +119,7 @@ def term_frequency(
     """
     terms = _stemmed_occurrences(corpus, key, text, normalize, revised)
     return (
-        keep_listed(terms, "term", vocabulary, vocabulary_rows)
+        keep_listed(terms, "term", vocabulary)
         .groupBy("doc_id", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -143,7 +134,6 @@ def tf_idf(
     idf: str = "integer",
     normalize: bool = False,
     revised: bool = True,
-    vocabulary_rows: int | None = None,
 ) -> DataFrame:
     """``(doc_id, term, tfidf)`` against a ``(term, df)`` table with one row per term.
 
@@ -155,7 +145,7 @@ def tf_idf(
         n_docs = corpus.agg(F.countDistinct(key)).scalar()
     elif not isinstance(n_docs, Column):
         n_docs = F.lit(n_docs)
-    listed = as_small_list(frequencies.select(F.col("term").alias("_term"), "df"), vocabulary_rows)
+    listed = frequencies.select(F.col("term").alias("_term"), "df")
     terms = _stemmed_occurrences(corpus, key, text, normalize, revised)
     counts = (
         terms.join(listed, terms["term"] == listed["_term"])

@@ -163,9 +163,7 @@ def warehouse_partitioned(spark, folder):
 
 @_query
 def stripes_text(spark, folder):
-    pairs = cooccurrence.cooccurrence_pairs(
-        standins.corpus_lines(spark, folder), _vocabulary(spark, folder), 1, vocabulary_rows=TOP_WORDS
-    )
+    pairs = cooccurrence.cooccurrence_pairs(standins.corpus_lines(spark, folder), _vocabulary(spark, folder))
     striped = cooccurrence.stripes(pairs).withColumn("stripe", text_sinks.map_text(F.col("stripe")))
     return text_sinks.key_value_lines(striped, "word", "stripe")
 
@@ -517,7 +515,7 @@ def top_words(spark, folder):
 @_query
 def vocab_semi_join(spark, folder):
     tokens = standins.documents(spark, folder).select(F.explode(T.letter_slots("text")).alias("word"))
-    kept = words.keep_listed(tokens, "word", _vocabulary(spark, folder), TOP_WORDS)
+    kept = words.keep_listed(tokens, "word", _vocabulary(spark, folder))
     return kept.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -527,8 +525,7 @@ def vocab_semi_join(spark, folder):
 def _pairs(distance: int, local_agg: str = "task") -> Query:
     def query(spark, folder):
         return cooccurrence.cooccurrence_pairs(
-            standins.corpus_lines(spark, folder), _vocabulary(spark, folder), distance,
-            local_agg=local_agg, vocabulary_rows=TOP_WORDS,
+            standins.corpus_lines(spark, folder), _vocabulary(spark, folder), distance, local_agg=local_agg
         )
 
     return query
@@ -559,7 +556,7 @@ def cooc_stripes_flattened(spark, folder):
 @_query
 def cooc_distance_sweep(spark, folder):
     return cooccurrence.distance_sweep(
-        standins.corpus_lines(spark, folder), _vocabulary(spark, folder), MAX_DISTANCE, vocabulary_rows=TOP_WORDS
+        standins.corpus_lines(spark, folder), _vocabulary(spark, folder), MAX_DISTANCE
     )
 
 
@@ -596,16 +593,12 @@ def top_terms_by_df(spark, folder):
 
 @_query
 def term_frequency(spark, folder):
-    return words.term_frequency(
-        standins.documents(spark, folder), _top_terms(spark, folder).select("term"), vocabulary_rows=TOP_TERMS
-    )
+    return words.term_frequency(standins.documents(spark, folder), _top_terms(spark, folder).select("term"))
 
 
 @_query
 def tfidf(spark, folder):
-    scores = words.tf_idf(
-        standins.documents(spark, folder), _top_terms(spark, folder), vocabulary_rows=TOP_TERMS
-    )
+    scores = words.tf_idf(standins.documents(spark, folder), _top_terms(spark, folder))
     return scores.withColumn("tfidf", F.round("tfidf", 6))
 
 
@@ -613,7 +606,6 @@ def tfidf(spark, folder):
 def tfidf_normalized(spark, folder):
     """Tokens cleaned as for the document frequency, exact quotient in the logarithm."""
     scores = words.tf_idf(
-        standins.documents(spark, folder), _top_terms(spark, folder),
-        idf="real", normalize=True, vocabulary_rows=TOP_TERMS,
+        standins.documents(spark, folder), _top_terms(spark, folder), idf="real", normalize=True
     )
     return scores.withColumn("tfidf", F.round("tfidf", 6))
