@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions import records as R
@@ -12,6 +12,7 @@ from tallyworks.operators import quality, quarantine
 from tallyworks.operators.joins import HOT_ROWS, hot_keys, salted_inner_join
 
 KEYS = ["student_id", "course"]
+ROW = "_row"
 
 
 def error_records(attendance: DataFrame, enrollment: DataFrame, grades: DataFrame) -> DataFrame:
@@ -22,30 +23,63 @@ def error_records(attendance: DataFrame, enrollment: DataFrame, grades: DataFram
     return log.drop("entity_key")
 
 
-def _enrollment_columns(enrollment: DataFrame, *extra: str) -> DataFrame:
+def numbered(source: DataFrame) -> DataFrame:
+    """Number the rows of a file or table, so that even exact copies of a hot row can be spread.
+
+    Only for a source as it is scanned: the numbers must come out the same when
+    a task runs again.
+    """
+    return source.withColumn(ROW, F.monotonically_increasing_id())
+
+
+def _spread(source: DataFrame) -> Column:
+    """What tells the rows of a hot key apart: their number if they have one, else their content."""
+    return (F.col(ROW) if ROW in source.columns else F.xxhash64(*source.columns)).alias(ROW)
+
+
+def _enrollment_columns(enrollment: DataFrame) -> DataFrame:
     return enrollment.select(
         "student_id", "course", "student_name", "program", "batch",
         F.col("primary_faculty").alias("faculty"), "course_type", "period",
-        R.short_date("enrollment_date").alias("enrollment_date"), *extra,
+        R.short_date("enrollment_date").alias("enrollment_date"),
+        _spread(enrollment),
     )
 
 
-def _attendance_columns(attendance: DataFrame, *extra: str) -> DataFrame:
+def _attendance_columns(attendance: DataFrame) -> DataFrame:
     return attendance.select(
         F.col("member_id_hash").alias("student_id"), "course",
-        "classes_attended", "classes_absent", "avg_attendance_percent", *extra,
+        "classes_attended", "classes_absent", "avg_attendance_percent",
+        _spread(attendance),
     )
 
 
-def _grade_columns(grades: DataFrame, *extra: str) -> DataFrame:
+def _grade_columns(grades: DataFrame) -> DataFrame:
     return grades.select(
         "student_id", F.col("subject_code_name").alias("course"),
         F.col("obtained_marks_grade").alias("obtained_grade"),
-        F.col("out_of_marks_grade").alias("total_marks"), "exam_result", *extra,
+        F.col("out_of_marks_grade").alias("total_marks"), "exam_result",
+        _spread(grades),
     )
 
 
-def _fact_table(joined: DataFrame) -> DataFrame:
+def hot_student_courses(
+    enrollment: DataFrame, attendance: DataFrame, grades: DataFrame, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """The student and course keys that hold most rows of a source."""
+    frames = [_enrollment_columns(enrollment), _attendance_columns(attendance), _grade_columns(grades)]
+    return hot_keys(frames, KEYS, hot_rows)
+
+
+def join_sources(
+    enrollment: DataFrame, attendance: DataFrame, grades: DataFrame, hot: DataFrame | None = None
+) -> DataFrame:
+    """The fact table: inner join of the three sources on student and course, hot keys spread."""
+    if hot is None:
+        hot = hot_student_courses(enrollment, attendance, grades)
+    frames = [_enrollment_columns(enrollment), _attendance_columns(attendance), _grade_columns(grades)]
+    named = [frame.withColumnRenamed(ROW, f"{ROW}_{i}") for i, frame in enumerate(frames)]
+    joined = salted_inner_join(named, KEYS, [f"{ROW}_{i}" for i in range(len(named))], hot)
     return joined.select(
         "student_id", "student_name", "program", "batch", "course", "faculty", "course_type", "period",
         "enrollment_date", "classes_attended", "classes_absent", "avg_attendance_percent",
@@ -53,23 +87,10 @@ def _fact_table(joined: DataFrame) -> DataFrame:
     )
 
 
-def join_sources(enrollment: DataFrame, attendance: DataFrame, grades: DataFrame) -> DataFrame:
-    """Inner join of the three sources on student and course, left to the optimizer."""
-    joined = (
-        _enrollment_columns(enrollment)
-        .join(_attendance_columns(attendance), KEYS)
-        .join(_grade_columns(grades), KEYS)
-    )
-    return _fact_table(joined)
-
-
 def build_warehouse(
     attendance: DataFrame, enrollment: DataFrame, grades: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Quarantine by key, then join the clean rows of the three sources.
-
-    The sources must be files or tables: rows are numbered as they are scanned,
-    so that hot keys can be split the same way each time a task runs.
+    """Quarantine by key, then join the clean rows of the three sources, which must be files or tables.
 
     A row survives only if its student is clean in all three sources, because
     the join asks for the same student in each. One anti-join of the enrollment
@@ -82,36 +103,27 @@ def build_warehouse(
         quality.error_log(grades, quality.grade_roster_checks()),
     ]
     bad = reduce(DataFrame.unionByName, [log.select("entity_key") for log in logs])
-    row_number = F.monotonically_increasing_id()
-    distinct_grades = grades.distinct().withColumn("_g", F.xxhash64(*grades.columns))
-    numbered_enrollment = _enrollment_columns(enrollment.withColumn("_e", row_number), "_e")
-    hot = hot_keys(
-        [_enrollment_columns(enrollment), _attendance_columns(attendance), _grade_columns(grades)], KEYS, hot_rows
-    )
-    joined = salted_inner_join(
-        [
-            quarantine.quarantine_by_key(numbered_enrollment, "student_id", bad),
-            _attendance_columns(attendance.withColumn("_a", row_number), "_a"),
-            _grade_columns(distinct_grades, "_g"),
-        ],
-        KEYS,
-        ["_e", "_a", "_g"],
-        hot,
+    return join_sources(
+        quarantine.quarantine_by_key(numbered(enrollment), "student_id", bad),
+        numbered(attendance),
+        grades.distinct(),
+        hot_student_courses(enrollment, attendance, grades, hot_rows),
     )
-    return _fact_table(joined)
 
 
-def build_warehouse_by_text(attendance: DataFrame, enrollment: DataFrame, grades: DataFrame) -> DataFrame:
+def build_warehouse_by_text(
+    attendance: DataFrame, enrollment: DataFrame, grades: DataFrame, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """The same with the quarantine that looks for keys anywhere in the logged rows."""
-    distinct_grades = grades.distinct()
     return join_sources(
         quarantine.quarantine_by_text(
-            enrollment, "student_id", quality.error_log(enrollment, quality.enrollment_checks())
+            numbered(enrollment), "student_id", quality.error_log(enrollment, quality.enrollment_checks())
         ),
         quarantine.quarantine_by_text(
-            attendance, "member_id_hash", quality.error_log(attendance, quality.attendance_checks())
+            numbered(attendance), "member_id_hash", quality.error_log(attendance, quality.attendance_checks())
         ),
         quarantine.quarantine_by_text(
-            distinct_grades, "student_id", quality.error_log(grades, quality.grade_roster_checks())
+            grades.distinct(), "student_id", quality.error_log(grades, quality.grade_roster_checks())
         ),
+        hot_student_courses(enrollment, attendance, grades, hot_rows),
     )

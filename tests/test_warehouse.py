@@ -50,6 +50,22 @@ def test_hot_students_do_not_change_the_warehouse(spark):
     assert usual
     assert usual == rows(warehouse.build_warehouse(attendance, enrollment, grades, hot_rows=2))
     assert usual == rows(warehouse.build_warehouse_by_text(attendance, enrollment, grades))
+    by_text = warehouse.build_warehouse_by_text(attendance, enrollment, grades, hot_rows=2)
+    assert usual == rows(by_text)
+
+
+def test_join_of_sources_equals_plain_join(spark):
+    attendance, enrollment, grades = sources(spark)
+    plain = enrollment.join(
+        attendance, (enrollment["student_id"] == attendance["member_id_hash"]) & (enrollment["course"] == attendance["course"])
+    ).join(
+        grades,
+        (enrollment["student_id"] == grades["student_id"]) & (grades["subject_code_name"] == enrollment["course"]),
+    )
+    joined = warehouse.join_sources(enrollment, attendance, grades)
+    assert joined.count() == plain.count() > 0
+    hot = warehouse.hot_student_courses(enrollment, attendance, grades, hot_rows=1)
+    assert rows(warehouse.join_sources(enrollment, attendance, grades, hot)) == rows(joined)
 
 
 def test_one_bad_row_removes_the_student_everywhere(spark):
