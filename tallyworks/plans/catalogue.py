@@ -168,6 +168,13 @@ def stripes_text(spark, folder):
     return text_sinks.key_value_lines(striped, "word", "stripe")
 
 
+@_query
+def pairs_text(spark, folder):
+    return text_sinks.pair_lines(
+        cooccurrence.cooccurrence_pairs(standins.corpus_lines(spark, folder), _vocabulary(spark, folder))
+    )
+
+
 # --- projections and scalar expressions ------------------------------------------------------
 
 

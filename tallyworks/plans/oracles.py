@@ -358,6 +358,7 @@ def oracles() -> dict[str, str]:
         "orc_roundtrip": f"""WITH {ROSTER} SELECT * REPLACE (CAST(avg_attendance_percent AS VARCHAR)
             AS avg_attendance_percent) FROM roster""",
         "stripes_text": f"SELECT word || chr(9) || stripe AS value FROM ({_stripes(1)})",
+        "pairs_text": f"SELECT word || ',' || neighbor || chr(9) || n AS value FROM ({_pairs(1)})",
         # projections and scalar expressions
         "project_rename": f"WITH {ROSTER} SELECT course AS subject, student_id, obtained_grade AS grade FROM roster",
         "split_to_array": f"""WITH {ATTENDANCE} SELECT name_hash, array_to_string(instructors, '|') AS items,

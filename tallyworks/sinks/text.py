@@ -15,6 +15,11 @@ def write_key_value(frame: DataFrame, path: str, *columns: str) -> None:
     key_value_lines(frame, *columns).write.text(path)
 
 
+def pair_lines(pairs: DataFrame) -> DataFrame:
+    """Pair counts as text, ``word,neighbor<TAB>n`` in one column ``value``."""
+    return key_value_lines(pairs.withColumn("pair", F.concat_ws(",", "word", "neighbor")), "pair", "n")
+
+
 def map_text(counts: Column) -> Column:
     """``{a=1, b=2}``, keys in ascending order."""
     entries = F.array_sort(F.map_entries(counts))
