@@ -80,3 +80,13 @@ def test_one_bad_row_removes_the_student_everywhere(spark):
     left = warehouse.build_warehouse(broken, enrollment, grades)
     assert left.where(F.col("student_id") == student).count() == 0
     assert left.count() > 0
+
+
+def test_hot_keys_are_counted_once(spark):
+    """The list of hot keys goes into three joins but its counting pass runs once."""
+    facts = warehouse.build_warehouse(*sources(spark), hot_rows=2)
+    facts.collect()
+    final = facts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("TakeOrderedAndProject") == 1
+    assert final.count("ReusedExchange") == 2
+    assert final.count("FileScan") == 9
