@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyworks.llm import bpe
-from tallyworks.llm.shared import documents, written
+from tallyworks.llm.shared import documents, ship_package, written
 
 
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -22,6 +22,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
+    ship_package(spark)
     docs = documents(spark, folder)
     for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, folder)

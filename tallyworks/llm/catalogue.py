@@ -6,13 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import bpe
+from tallyworks.llm import bpe, collisions, pivots
+from tallyworks.llm.shared import ship_package
 
+Query = Callable[[SparkSession, str], DataFrame]
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, folder)
+
+    return run
+
+
+def queries() -> dict[str, Query]:
+    found = {
+        "op2_embedding_near_dedup": pivots.op2_embedding_near_dedup,
+        "op3_nearest_neighbours": collisions.op3_nearest_neighbours,
         "op4_bpe": bpe.op4_bpe,
     }
+    return {name: _shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -41,6 +43,22 @@ def drop_written(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, unless they find it on the same path as the driver."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    context = spark.sparkContext
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or context.applicationId in _shipped:
+        return
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="tallyworks-"), "tallyworks"), "zip", root, "tallyworks"
+    )
+    context.addPyFile(archive)  # the driver's own copy; Spark hands it to the executors
+    _shipped.add(context.applicationId)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
