@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyworks.llm.shared import documents
 
 MAX_STATES = 1 << 18
-MAX_KNOWN = 1 << 18
+MAX_KNOWN = 3 << 18
 PIECES_AT_ONCE = 1 << 16
 
 # Fixed value: the pattern of the public byte-level vocabulary, for which texts may be cut at single spaces.
