@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import bpe, collisions, pivots
+from tallyworks.llm import bpe, collisions, pii, pivots
 from tallyworks.llm.shared import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,7 @@ def _shipped(query: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     found = {
+        "op1_pii": pii.op1_pii,
         "op2_embedding_near_dedup": pivots.op2_embedding_near_dedup,
         "op3_nearest_neighbours": collisions.op3_nearest_neighbours,
         "op4_bpe": bpe.op4_bpe,
