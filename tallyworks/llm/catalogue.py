@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import bpe, collisions, pii, pivots
+from tallyworks.llm import bpe, collisions, licences, mixing, pii, pivots
 from tallyworks.llm.shared import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,9 +26,11 @@ def queries() -> dict[str, Query]:
         "op2_embedding_near_dedup": pivots.op2_embedding_near_dedup,
         "op3_nearest_neighbours": collisions.op3_nearest_neighbours,
         "op4_bpe": bpe.op4_bpe,
+        "op7_mixing": mixing.op7_mixing,
+        "op8_licences": licences.op8_licences,
     }
     return {name: _shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_mixing": mixing.mixing_sql(), "op8_licences": licences.licences_sql()}
