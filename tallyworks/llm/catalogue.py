@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import bpe, collisions, licences, mixing, pii, pivots, quality
+from tallyworks.llm import bpe, collisions, licences, mixing, pii, pivots, quality, repeats
 from tallyworks.llm.shared import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,7 @@ def queries() -> dict[str, Query]:
         "op2_embedding_near_dedup": pivots.op2_embedding_near_dedup,
         "op3_nearest_neighbours": collisions.op3_nearest_neighbours,
         "op4_bpe": bpe.op4_bpe,
+        "op5_substring_dedup": repeats.op5_substring_dedup,
         "op7_mixing": mixing.op7_mixing,
         "op8_licences": licences.op8_licences,
         "op9_quality": quality.op9_quality,
