@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import bpe, collisions, licences, mixing, pii, pivots, quality, repeats
+from tallyworks.llm import bpe, collisions, licences, mixing, pii, pivots, quality, repeats, suffixes
 from tallyworks.llm.shared import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,7 @@ def queries() -> dict[str, Query]:
         "op7_mixing": mixing.op7_mixing,
         "op8_licences": licences.op8_licences,
         "op9_quality": quality.op9_quality,
+        "op10_suffix_dedup": suffixes.op10_suffix_dedup,
     }
     return {name: _shipped(query) for name, query in found.items()}
 
