@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import bpe, collisions, licences, mixing, pii, pivots, quality, repeats, suffixes
+from tallyworks.llm import bpe, collisions, licences, mixing, ngrams, pii, pivots, quality, repeats, suffixes
 from tallyworks.llm.shared import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,7 @@ def queries() -> dict[str, Query]:
         "op3_nearest_neighbours": collisions.op3_nearest_neighbours,
         "op4_bpe": bpe.op4_bpe,
         "op5_substring_dedup": repeats.op5_substring_dedup,
+        "op6_ngram_join": ngrams.op6_ngram_join,
         "op7_mixing": mixing.op7_mixing,
         "op8_licences": licences.op8_licences,
         "op9_quality": quality.op9_quality,

@@ -137,9 +137,9 @@ def sliding_sums(x: np.ndarray, n: int, seed: int) -> np.ndarray:
     if len(x) < n:
         return np.zeros(0, dtype=np.uint64)
     out = np.zeros(len(x) - n + 1, dtype=np.uint64)
-    base = np.uint64(2 * seed + 1) * _ODD | np.uint64(1)
+    base = (2 * seed + 1) * int(_ODD) % 2**64 | 1
     # by doubling: h[2k](i) = h[k](i) * base^k + h[k](i + k)
-    total, done, part, size, factor = out, 0, x, 1, base
+    total, done, part, size, factor = out, 0, x, 1, np.uint64(base)
     rest = n
     while rest:
         if rest & 1:
@@ -148,7 +148,8 @@ def sliding_sums(x: np.ndarray, n: int, seed: int) -> np.ndarray:
         rest >>= 1
         if rest:
             part = part[:-size] * factor + part[size:]
-            size, factor = size * 2, factor * factor
+            base = base * base % 2**64
+            size, factor = size * 2, np.uint64(base)
     return mix(total)
 
 
