@@ -7,45 +7,43 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is worth splitting from this many rows on, and at most this many keys are
-# split. The list of split keys is therefore bounded and may be broadcast; any
-# key beyond it holds less than 1 / MAX_HOT_KEYS of all rows.
+# Rows that a join may make of one key in one task.
 HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 2_000
-SALTS = 32
 
 
 def hot_keys(frames: list[DataFrame], keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``(*keys, hot_in)``: the heaviest keys with at least ``hot_rows`` rows in a frame,
-    with the positions of the frames they are that heavy in."""
-    tagged = [frame.select(*keys, F.lit(i).alias("_frame")) for i, frame in enumerate(frames)]
-    heaviest = (
-        reduce(DataFrame.unionByName, tagged)
-        .groupBy(*keys, "_frame")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= hot_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(MAX_HOT_KEYS)
+    """``(*keys, split, salts)``: every key whose join has more than ``hot_rows`` rows.
+
+    What counts is the product of a key's rows over the frames, so a key that is
+    moderate in each of them is found too. ``split`` is the frame with most of its
+    rows, ``salts`` the number of parts that it is cut into: as many as needed, no more than
+    it has rows. A key that is null, or lacks in one frame, joins nothing and is not listed.
+    """
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    tagged = [frame.select(*keys, F.lit(i).alias("_frame")).where(present) for i, frame in enumerate(frames)]
+    counted = reduce(DataFrame.unionByName, tagged).groupBy(*keys).agg(
+        *[F.count_if(F.col("_frame") == i).alias(f"_n{i}") for i in range(len(frames))]
+    )
+    counts = [F.col(f"_n{i}") for i in range(len(frames))]
+    rows = reduce(lambda a, b: a * b, [c.cast("double") for c in counts])
+    most = F.greatest(*counts)
+    return counted.where(rows > hot_rows).select(
+        *keys,
+        (F.array_position(F.array(*counts), most) - 1).cast("int").alias("split"),
+        F.least(F.ceil(rows / hot_rows), most.cast("double")).cast("int").alias("salts"),
     )
-    return heaviest.groupBy(*keys).agg(F.collect_set("_frame").alias("hot_in"))
 
 
-def salted_inner_join(
-    frames: list[DataFrame],
-    keys: list[str],
-    spread: list[str],
-    hot: DataFrame,
-    salts: int = SALTS,
-) -> DataFrame:
+def salted_inner_join(frames: list[DataFrame], keys: list[str], spread: list[str], hot: DataFrame) -> DataFrame:
     """Inner join of several frames on the same key columns, hot keys spread over many tasks.
 
-    Every frame gets one salt column per frame. A row of a key that is hot in
-    its own frame takes its own salt from the frame's ``spread`` column; a row
-    of a key that is hot in another frame is repeated once per salt of that
-    frame. All frames then join on keys and salts together, so each pair of rows
-    still meets exactly once, all joins share one partitioning, and keys that
-    are not hot are left as they are. Which keys count as hot decides about
-    speed only: ``hot`` may come from the frames before they were filtered.
+    A row of a hot key takes a salt from its frame's ``spread`` column if that
+    frame is the one to split, and is repeated once per salt in the others. All
+    frames then join on keys and salt together, so each combination of rows meets
+    once, all joins share one partitioning, and keys that are not hot are left as they
+    are. A row is never repeated more often than the join would return it. Which keys
+    count as hot decides about speed only: ``hot`` may come from the frames before
+    they were filtered.
 
     ``spread`` names one integer column per frame, dropped from the result. A
     task that is run again must find the same value for the same row, so derive
@@ -54,19 +52,12 @@ def salted_inner_join(
 
     Frames must not share columns other than the keys.
     """
-    salt_names = [f"_salt_{i}" for i in range(len(frames))]
     salted = []
     for i, frame in enumerate(frames):
-        # ``hot`` has at most MAX_HOT_KEYS rows.
-        out = frame.join(F.broadcast(hot), keys, "left")
-        for j, name in enumerate(salt_names):
-            is_hot = F.coalesce(F.array_contains("hot_in", j), F.lit(False))
-            if i == j:
-                own = F.pmod(F.col(spread[i]), F.lit(salts)).cast("int")
-                out = out.withColumn(name, F.when(is_hot, own).otherwise(F.lit(0)))
-            else:
-                every = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-                out = out.withColumn(name, F.explode(every))
-        salted.append(out.drop("hot_in", spread[i]))
-    joined = reduce(lambda a, b: a.join(b, [*keys, *salt_names], "inner"), salted)
-    return joined.drop(*salt_names)
+        own = F.array(F.pmod(F.col(spread[i]), F.col("salts")).cast("int"))
+        every = F.sequence(F.lit(0), F.col("salts") - 1)
+        salt = F.when(F.col("salts").isNull(), F.array(F.lit(0))).when(F.col("split") == i, own).otherwise(every)
+        salted.append(
+            frame.join(hot, keys, "left").withColumn("_salt", F.explode(salt)).drop("split", "salts", spread[i])
+        )
+    return reduce(lambda a, b: a.join(b, [*keys, "_salt"], "inner"), salted).drop("_salt")

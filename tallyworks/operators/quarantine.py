@@ -50,16 +50,17 @@ def keys_found_in_rows(keys: DataFrame, errors: DataFrame) -> DataFrame:
     checked with LIKE; a key of wildcards alone needs only a row long enough.
     """
     keys = keys.select("entity_key").where(F.col("entity_key").isNotNull()).distinct()
-    wildcard = F.col("entity_key").rlike(r"[%_\\]")
-    # literal runs of a pattern, escaped characters among them, and those without their backslash
-    runs = F.regexp_extract_all("entity_key", F.lit(r"((?:\\.|[^%_\\])+)"), 1)
-    literals = F.transform(runs, lambda run: F.regexp_replace(run, r"\\(.)", "$1"))
+    # A backslash escapes a wildcard that follows it and is itself anywhere else.
+    wildcard = F.col("entity_key").rlike(r"(?<!\\)[%_]")
+    runs = F.regexp_extract_all("entity_key", F.lit(r"((?:\\[%_]|[^%_])+)"), 1)
+    literals = F.transform(runs, lambda run: F.regexp_replace(run, r"\\([%_])", "$1"))
     longest = F.array_sort(F.transform(literals, lambda p: F.struct(-F.length(p), p.alias("part"))))
     probes = keys.select(
         "entity_key",
         wildcard.alias("wild"),
         F.when(wildcard, F.coalesce(F.get(longest, 0)["part"], F.lit("")))
-        .otherwise(F.col("entity_key")).alias("probe"),
+        .otherwise(F.regexp_replace("entity_key", r"\\([%_])", "$1")).alias("probe"),
+        F.regexp_replace("entity_key", r"\\(?![%_])", r"\\\\").alias("pattern"),
         (F.length("entity_key") - F.length(F.replace("entity_key", F.lit("_"), F.lit("")))).alias("any_chars"),
     )
     rows = errors.select("original_row").where(F.col("original_row").isNotNull()).distinct()
@@ -71,7 +72,7 @@ def keys_found_in_rows(keys: DataFrame, errors: DataFrame) -> DataFrame:
     wild = probes.where("wild AND probe != ''")
     found_wild = wild.join(
         _pieces(rows, wild),
-        F.expr("probe = piece AND original_row LIKE concat('%', entity_key, '%')"),
+        F.expr("probe = piece AND original_row LIKE concat('%', pattern, '%')"),
         "left_semi",
     )
     longest_row = rows.agg(F.max(F.length("original_row"))).scalar()

@@ -94,9 +94,9 @@ def load_grade_roster(spark, folder):
 def load_export(spark, folder):
     """Write a warehouse as delimited text, the faculty list joined, and read it back by position."""
     path = tables.fresh_path(spark, "export-csv")
-    facts = _warehouse_text(warehouse.join_sources(
+    facts = _warehouse_text(warehouse.join_sources(*map(warehouse.numbered, (
         standins.enrollment(spark, folder), standins.attendance(spark, folder), standins.grade_roster(spark, folder)
-    ))
+    ))))
     fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in facts.columns]
     facts.select(F.concat_ws(",", *fields)).write.text(path)
     return records.read_warehouse_export(spark, path).withColumn(
@@ -135,18 +135,12 @@ def orc_roundtrip(spark, folder):
     return _warehouse_text(spark.read.schema(frame.schema).orc(path))
 
 
-_layouts: dict[tuple[str, str], tuple[str, str]] = {}
-
-
 def _partitioned_layout(spark: SparkSession, folder: str) -> tuple[str, str]:
-    """Table name and path of the roster's partitioned layout, written once per session."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _layouts:
-        path = tables.fresh_path(spark, "roster-partitioned")
-        name = "roster_" + path.rsplit("-", 1)[1]
-        tables.write_partitioned_bucketed(standins.roster(spark, folder), name, path)
-        _layouts[key] = (name, path)
-    return _layouts[key]
+    """Table name and path of a partitioned layout of the roster, written anew."""
+    path = tables.fresh_path(spark, "roster-partitioned")
+    name = "roster_" + path.rsplit("-", 1)[1]
+    tables.write_partitioned_bucketed(standins.roster(spark, folder), name, path)
+    return name, path
 
 
 def _partitioned_roster(spark: SparkSession, folder: str) -> DataFrame:
@@ -349,7 +343,7 @@ def distinct_rows(spark, folder):
 @_query
 def warehouse_join(spark, folder):
     return _warehouse_text(warehouse.join_sources(
-        standins.enrollment(spark, folder), standins.attendance(spark, folder),
+        warehouse.numbered(standins.enrollment(spark, folder)), warehouse.numbered(standins.attendance(spark, folder)),
         standins.grade_roster(spark, folder).distinct(),
     ))
 
@@ -481,10 +475,7 @@ def flatten_bag(spark, folder):
 @_query
 def pig_all_reports(spark, folder):
     """The three reports from one summary, as ``(report, course, program_name, measure, grade)``."""
-    path = tables.fresh_path(spark, "summary-orc")
-    summed = bag_reports.summary(_cleaned(spark, folder))
-    tables.write_orc(summed, path)
-    found = bag_reports.all_reports(spark.read.schema(summed.schema).orc(path))
+    found = bag_reports.all_reports(bag_reports.summary(_cleaned(spark, folder)))
     none = F.lit(None).cast("string")
     return (
         found.average_and_mode.select(

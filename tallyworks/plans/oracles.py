@@ -39,7 +39,7 @@ ATTENDANCE_TEXT = """att_text AS (
     CAST(l_linenumber AS VARCHAR) AS classes_absent,
     CASE WHEN l_suppkey % 43 = 0 THEN '1000.00%'
          ELSE CAST(CAST(l_quantity * 2.04 AS DECIMAL(5,2)) AS VARCHAR) || '%' END AS avg_attendance_percent
-  FROM lineitem WHERE l_linenumber <= 2)"""
+  FROM lineitem)"""
 
 
 def _attendance(text: str = "att_text") -> str:
@@ -54,7 +54,7 @@ def _attendance(text: str = "att_text") -> str:
 ATTENDANCE = ATTENDANCE_TEXT + ", " + _attendance()
 
 ENROLLMENT_TEXT = """enr_text AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS serial_no, 'C' || (1 + o_orderkey % 2) AS course, o_orderstatus AS status,
+  SELECT CAST(o_orderkey AS VARCHAR) AS serial_no, 'C' || (1 + o_orderkey % 7) AS course, o_orderstatus AS status,
     o_orderpriority AS course_type, 'V' || (o_custkey % 3) AS course_variant, CAST(NULL AS VARCHAR) AS academia_lms,
     'S' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS student_id, 'N' || o_custkey AS student_name,
     'P' || (o_custkey % 7) AS program, CAST(year(o_orderdate) AS VARCHAR) AS batch,
@@ -84,7 +84,7 @@ GRADE_ROSTER = """grd AS (
     'A' AS out_of_marks_grade,
     CASE WHEN l_partkey % 61 = 0 THEN NULL WHEN l_partkey % 67 = 0 THEN 'ABSENT' WHEN l_partkey % 73 = 0 THEN '  '
          WHEN l_linestatus = 'O' THEN ' pass ' ELSE 'FAIL' END AS exam_result
-  FROM lineitem WHERE l_linenumber <= 2)"""
+  FROM lineitem)"""
 
 ATT_ROW = """concat_ws(',', course, coalesce(array_to_string(instructors, ';'), ''), name_hash, email_hash,
     member_id_hash, CAST(classes_attended AS VARCHAR), CAST(classes_absent AS VARCHAR),

@@ -2,32 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-_local_folders: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may do without the setting; it gets one temporary folder.
+    A session without the setting gets a folder inside its warehouse, which is
+    shared as well.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tallyworks-")
-    return _local_folders[context.applicationId]
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -59,6 +49,11 @@ def clustered_for_write(frame: DataFrame, *columns: str) -> DataFrame:
     return frame.hint("rebalance", *columns)
 
 
+def drop_table(spark: SparkSession, table: str, if_exists: bool = True) -> None:
+    """Drop a table; one that is not there is left alone or is an error."""
+    spark.sql(f"DROP TABLE {'IF EXISTS ' if if_exists else ''}{table}")
+
+
 def write_partitioned_bucketed(
     frame: DataFrame,
     table: str,

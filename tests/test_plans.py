@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from tallyworks.operators import reports
 from tallyworks.plans import catalogue, standins
 from tallyworks.sinks import tables
-from tallyworks.sources.partitioning import spread_small
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -78,14 +77,14 @@ def test_partitioned_write_rebalances(spark):
 def test_cooccurrence_shuffles_counts_only(spark, name):
     text = plan(catalogue.catalogue()[name](spark, FOLDER))
     counting = text[: text.index("FileScan")]
-    assert counting.count("Exchange hashpartitioning") == 3  # pairs, gaps, and the spread of a small input
-    assert "hashpartitioning(doc_id" in counting
+    assert counting.count("Exchange hashpartitioning") == 2  # pairs and gaps
+    assert "hashpartitioning(doc_id" not in counting
 
 
 @pytest.mark.parametrize("name", ["word_count", "cooc_pairs_d1", "cooc_pairs_line_agg", "document_frequency", "roster_avg"])
 def test_tasks_aggregate_before_they_shuffle(spark, name):
     text = plan(catalogue.catalogue()[name](spark, FOLDER))
-    exchanges = text.count("Exchange hashpartitioning") - text.count("REPARTITION_BY_NUM")
+    exchanges = text.count("Exchange hashpartitioning")
     assert text.count("functions=[partial_") >= exchanges > 0
 
 
@@ -98,8 +97,3 @@ def test_stems_are_computed_once_per_token(spark):
     text = plan(catalogue.document_frequency(spark, FOLDER))
     assert "Filter ((size(" not in text
 
-
-def test_only_small_inputs_are_spread(spark):
-    frame = standins.table(spark, FOLDER, "documents")
-    assert "Exchange" in plan(spread_small(frame, "doc_id"))
-    assert "Exchange" not in plan(spread_small(frame, "doc_id", small_bytes=1000))
