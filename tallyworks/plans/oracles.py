@@ -8,10 +8,12 @@ tokens.
 from __future__ import annotations
 
 from tallyworks.functions import stemming as S
-from tallyworks.operators.quality import GRADES
 from tallyworks.plans import catalogue as C
 from tallyworks.sources import schemas
 
+# The allowed grades.
+GRADES = ["A", "A-", "B+", "B", "B-", "C+", "C", "D", "F", "S"]
+
 ROSTER = """roster AS (
   SELECT l_orderkey * 10 + l_linenumber AS student_id, c_mktsegment AS program,
     CAST(year(o_orderdate) AS VARCHAR) AS batch, p_brand AS course,
@@ -141,10 +143,18 @@ LOG = ALL_SOURCES + f", log AS ({ATT_LOG} UNION ALL {ENR_LOG} UNION ALL {GRD_LOG
 
 
 def _valid(name: str, table: str, source: str, key: str, by_text: bool) -> str:
-    match = f"l.original_row LIKE '%' || t.{key} || '%'" if by_text else f"t.{key} IN (l.entity_key, '')"
+    """The rows whose key is left when the keys of the error log are taken away; rows without a key stay."""
+    if by_text:
+        bad = (
+            f"SELECT k FROM (SELECT DISTINCT {key} AS k FROM {table}) SEMI JOIN"
+            f" (SELECT DISTINCT original_row FROM log WHERE source_table = '{source}') l"
+            " ON l.original_row LIKE '%' || k || '%'"
+        )
+    else:
+        bad = f"SELECT unnest([entity_key, '']) FROM log WHERE source_table = '{source}'"
     return (
-        f"{name} AS (SELECT t.* FROM {table} t"
-        f" ANTI JOIN (SELECT DISTINCT original_row, entity_key FROM log WHERE source_table = '{source}') l ON {match})"
+        f"{name} AS (SELECT * FROM {table} WHERE {key} IS NULL"
+        f" OR {key} IN (SELECT {key} FROM {table} WHERE {key} IS NOT NULL EXCEPT ({bad})))"
     )
 
 
@@ -187,33 +197,46 @@ AVERAGES = f"""SELECT course, batch, round(avg({ATTENDED}), 2) AS avg_attendance
   WHERE avg_attendance_percent IS NOT NULL GROUP BY ALL"""
 GRADE_COUNTS = """SELECT course, batch, obtained_grade, count(*) AS grade_count FROM roster
   WHERE obtained_grade IS NOT NULL GROUP BY ALL"""
-MODES = """SELECT course, batch, obtained_grade AS mode_grade FROM roster
-  WHERE obtained_grade IS NOT NULL GROUP BY course, batch, obtained_grade
-  QUALIFY row_number() OVER (PARTITION BY course, batch ORDER BY count(*) DESC, obtained_grade) = 1"""
-REPORT_1 = f"""WITH {ROSTER}
-  SELECT course, batch, avg_attendance, mode_grade FROM ({AVERAGES}) JOIN ({MODES}) USING (course, batch)
-  WHERE NOT course LIKE '{C.CONTAINS}' ORDER BY 1, 2"""
-MEASURED = f"FROM roster WHERE avg_attendance_percent IS NOT NULL AND NOT course LIKE '{C.ENDS_IN}' GROUP BY course, batch"
+# The mode is the smallest of the grades that reach the group's highest count.
+MODES = f"""SELECT course, batch, min(obtained_grade) AS mode_grade FROM ({GRADE_COUNTS})
+  JOIN (SELECT course, batch, max(grade_count) AS grade_count FROM ({GRADE_COUNTS}) GROUP BY ALL)
+  USING (course, batch, grade_count) GROUP BY ALL"""
+# Average and mode from one grouping: grades as a histogram.
+REPORT_1 = f"""WITH {ROSTER}, grouped AS (
+  SELECT course, batch, avg({ATTENDED}) AS a, histogram(obtained_grade) FILTER (obtained_grade IS NOT NULL) AS h
+  FROM roster WHERE NOT contains(course, '{C.CONTAINS.strip("%")}') GROUP BY ALL)
+  SELECT course, batch, round(a, 2) AS avg_attendance,
+    list_min(list_filter(map_keys(h), lambda g: h[g] = list_max(map_values(h)))) AS mode_grade
+  FROM grouped WHERE a IS NOT NULL AND h IS NOT NULL ORDER BY course, batch"""
+# The share below 50 is the mean of a flag.
 REPORT_2 = f"""WITH {ROSTER} SELECT course, batch,
-    round(100::DOUBLE * count(*) FILTER ({ATTENDED} < 50) / count(*), 2) AS percentage_below_50_attendance
-  {MEASURED} ORDER BY 1, 2"""
-REPORT_3 = f"""WITH {ROSTER} SELECT course, batch, round(avg({ATTENDED}), 2) AS avg_attendance,
-    CAST(row_number() OVER (PARTITION BY batch ORDER BY avg({ATTENDED}) DESC, course) AS INT) AS rank
-  {MEASURED} QUALIFY rank <= 3 ORDER BY batch, rank"""
+    round(avg(CASE WHEN {ATTENDED} < 50 THEN 100::DOUBLE ELSE 0 END), 2) AS percentage_below_50_attendance
+  FROM roster WHERE avg_attendance_percent IS NOT NULL AND NOT suffix(course, '{C.ENDS_IN.strip("%")}')
+  GROUP BY ALL ORDER BY course, batch"""
+# A rank is one more than the number of better courses.
+REPORT_3 = f"""WITH {ROSTER}, means AS (SELECT course, batch, avg({ATTENDED}) AS a FROM roster
+  WHERE avg_attendance_percent IS NOT NULL AND NOT suffix(course, '{C.ENDS_IN.strip("%")}') GROUP BY ALL),
+  ranked AS (SELECT m.course, m.batch, m.a, CAST(1 + count(better.course) AS INT) AS rank FROM means m LEFT JOIN means better
+    ON better.batch = m.batch AND (better.a > m.a OR better.a = m.a AND better.course < m.course) GROUP BY ALL)
+  SELECT course, batch, round(a, 2) AS avg_attendance, rank FROM ranked WHERE rank <= 3 ORDER BY batch, rank"""
 
 BAG_AVERAGES = "SELECT course, program_name, avg(attendance) AS avg_attendance FROM cleaned GROUP BY ALL"
 BAG_COUNTS = """SELECT course, program_name, grade_obtained AS obtained_grade, count(student_id) AS grade_count
   FROM cleaned GROUP BY ALL"""
-BAG_MODES = f"""SELECT course, program_name, obtained_grade AS mode_grade FROM ({BAG_COUNTS})
-  QUALIFY row_number() OVER (PARTITION BY course, program_name
-    ORDER BY grade_count DESC, obtained_grade NULLS FIRST) = 1"""
+# No grade counts as the smallest grade.
+BAG_MODES = f"""SELECT course, program_name, nullif(min(coalesce(obtained_grade, '')), '') AS mode_grade
+  FROM ({BAG_COUNTS}) JOIN (SELECT course, program_name, max(grade_count) AS grade_count FROM ({BAG_COUNTS}) GROUP BY ALL)
+  USING (course, program_name, grade_count) GROUP BY ALL"""
 BAG_REPORT_1 = f"""SELECT course, program_name, avg_attendance, mode_grade
   FROM ({BAG_AVERAGES}) JOIN ({BAG_MODES}) USING (course, program_name)"""
-BAG_REPORT_2 = """SELECT course, program_name, 100::DOUBLE * count(student_id) FILTER (attendance < 50)
-    / nullif(count(student_id), 0) AS percentage_below_50_attendance
-  FROM cleaned GROUP BY course, program_name"""
-BAG_TOP = f"""SELECT course, program_name, avg_attendance AS average_attendance FROM ({BAG_AVERAGES})
-  QUALIFY row_number() OVER (PARTITION BY program_name ORDER BY avg_attendance DESC NULLS LAST, course) <= 3"""
+BAG_REPORT_2 = """SELECT course, program_name, avg(CASE WHEN student_id IS NULL THEN NULL
+    WHEN attendance < 50 THEN 100::DOUBLE ELSE 0 END) AS percentage_below_50_attendance
+  FROM cleaned GROUP BY ALL"""
+BAG_TOP = f"""SELECT m.course, m.program_name, m.avg_attendance AS average_attendance
+  FROM ({BAG_AVERAGES}) m LEFT JOIN ({BAG_AVERAGES}) better ON better.program_name = m.program_name
+    AND (coalesce(better.avg_attendance, -1) > coalesce(m.avg_attendance, -1)
+      OR better.avg_attendance IS NOT DISTINCT FROM m.avg_attendance AND better.course < m.course)
+  GROUP BY ALL HAVING count(better.course) < 3"""
 
 # --- text --------------------------------------------------------------------------------------
 
