@@ -4,7 +4,10 @@ import __spark_entry__ as driver
 import pytest
 from compare import connect, difference, type_difference
 
-from tallyworks.plans import catalogue, oracles
+from tallyworks.plans import catalogue, chain_oracles, chains, oracles
+
+QUERIES = catalogue.catalogue() | chains.queries()
+SQL = oracles.oracles() | chain_oracles.oracles()
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -15,11 +18,11 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(catalogue.catalogue()) == set(oracles.oracles())
-    assert set(catalogue.catalogue()) <= set(driver.queries())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.catalogue()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, connection, name):
     frame, sql = driver.queries()[name](spark, FOLDER), driver.oracle_sql()[name]
     assert type_difference(frame, connection, sql) is None
