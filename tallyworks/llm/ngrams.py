@@ -154,36 +154,56 @@ class _Entry:
         return rows[fits], differ[fits]
 
 
+def _new(pairs: set[tuple[int, int]], seen: set[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The pairs that this task has not named lately; many entries hold the same sets."""
+    found = pairs - seen
+    if len(seen) > 1 << 20:
+        seen.clear()
+    seen |= found
+    return sorted(found)
+
+
 def _gather(percent: int):
-    """Around leaders: each set goes to the first leader it may be similar to; a leader is also tied to earlier groups."""
+    """Around leaders: each set goes to the first leader it may be similar to; a leader is also tied to earlier groups.
+
+    Gives pairs ``(a, b)``, and ``open`` entries, in which other pairs may be similar too.
+    """
     def gather(batches):
         seen: set[tuple[int, int]] = set()
         for table in runs(batches, ["entry", "part"]):
-            if table.num_rows < 2:
-                continue
-            entry = _Entry(table["doc_id"].to_numpy(), table["n"].to_numpy(), table["parity"].to_pylist(), percent)
-            group = np.full(len(entry.ids), -1)
-            pairs = []
-            for i in range(len(entry.ids)):
-                if group[i] >= 0:
-                    continue
-                group[i] = i
-                rows, differ = entry.near(i)
-                free = group[rows] < 0
-                group[rows[free]] = i
-                pairs += [(i, j) for j in rows[free].tolist()]
-                tied = {}
-                for j, d in zip(rows[~free].tolist(), differ[~free].tolist()):
-                    if group[j] not in tied or d < tied[group[j]][0]:
-                        tied[group[j]] = (d, j)
-                pairs += [(i, j) for _, j in tied.values()]
-            named = {tuple(sorted((int(entry.ids[i]), int(entry.ids[j])))) for i, j in pairs} - seen
-            if len(seen) > 1 << 20:
-                seen.clear()
-            seen |= named
-            if named:
-                a, b = zip(*sorted(named))
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            count = table.num_rows
+            is_open = table["blocks"][0].as_py() > 1
+            named: set[tuple[int, int]] = set()
+            if count > 1:
+                entry = _Entry(table["doc_id"].to_numpy(), table["n"].to_numpy(), table["parity"].to_pylist(), percent)
+                ids = entry.ids.tolist()
+                group = np.full(count, -1)
+                for i in range(count):
+                    if group[i] >= 0:
+                        continue
+                    group[i] = i
+                    rows, differ = entry.near(i)
+                    if not len(rows):
+                        continue
+                    free = group[rows] < 0
+                    group[rows[free]] = i
+                    tied = {}
+                    for j, d in zip(rows[~free].tolist(), differ[~free].tolist()):
+                        if group[j] not in tied or d < tied[group[j]][0]:
+                            tied[group[j]] = (d, j)
+                    others = rows[free].tolist() + [j for _, j in tied.values()]
+                    is_open |= free.sum() > 1 or len(others) < len(rows)
+                    named |= {(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in others}
+                # a set that follows a leader is not held against those after it
+                is_open |= count > 2 and bool((group != np.arange(count)).any())
+            fresh, is_open = _new(named, seen), int(is_open)
+            if fresh or is_open:
+                rows = fresh + [(None, None)] * is_open
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                     pa.array([None] * len(fresh) + [table["entry"][0].as_py()] * is_open, pa.int64())],
+                    names=["a", "b", "open"],
+                )
 
     return gather
 
@@ -191,6 +211,7 @@ def _gather(percent: int):
 def _across(percent: int):
     """All pairs of different components that may be similar, in one pair of blocks of an entry."""
     def across(batches):
+        seen: set[tuple[int, int]] = set()
         for table in runs(batches, ["entry", "left", "right"]):
             if table.num_rows < 2:
                 continue
@@ -200,16 +221,16 @@ def _across(percent: int):
             first = table["is_left"].to_numpy(zero_copy_only=False).astype(bool)
             same = table["left"][0].as_py() == table["right"][0].as_py()
             entry = _Entry(ids, table["n"].to_numpy(), table["parity"].to_pylist(), percent)
-            part, first = part[entry.order], first[entry.order]
-            a, b = [], []
+            part, first, ids = part[entry.order], first[entry.order], entry.ids.tolist()
+            named: set[tuple[int, int]] = set()
             for i in range(len(ids)):
                 rows, _ = entry.near(i)
                 rows = rows[(part[rows] != part[i]) & (same | (first[rows] != first[i]))]
-                a += [int(entry.ids[i])] * len(rows)
-                b += entry.ids[rows].tolist()
-            if a:
+                named |= {(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in rows.tolist()}
+            if fresh := _new(named, seen):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
+                    [pa.array([r[0] for r in fresh], pa.int64()), pa.array([r[1] for r in fresh], pa.int64())],
+                    names=["a", "b"],
                 )
 
     return across
@@ -275,21 +296,28 @@ def similar_groups(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFr
         "t", lambda x, i: F.transform(F.slice("t", i + 2, F.size("t")), lambda y: F.xxhash64(x, y))
     ))).alias("entry"))
     entries = alone.unionByName(paired)
-    sizes = entries.groupBy("entry").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    # Similar sets share many entries: of the entries that hold the same sets, one is kept.
+    members = entries.groupBy("entry").agg(
+        F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
+        F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("sum"),
+    ).where("c > 1")
+    sizes = members.groupBy("c", "low", "high", "sum").agg(F.min("entry").alias("entry")).select("entry", "c")
     entries = written(
         entries.join(sizes, "entry").join(ones.select("doc_id", "n", "parity"), "doc_id")
         .withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int")).drop("c"), "ngram-entries",
     )
     block = F.pmod(F.xxhash64("doc_id", "entry"), F.col("blocks")).cast("int")
-    pairs = written(
+    gathered = written(
         in_groups(entries.withColumn("part", block), ["entry", "part"], ["n"])
-        .mapInArrow(_gather(percent), "a long, b long").distinct(), "ngram-pairs",
+        .mapInArrow(_gather(percent), "a long, b long, open long"), "ngram-pairs",
     )
+    pairs = gathered.where("open IS NULL").select("a", "b").distinct()
     links = written(_linked(pairs, own, width, percent), "ngram-links")
-    # what is still apart: entries that hold more than one component
+    # what is still apart: open entries that hold more than one component
     parts = components(links, "ngram-components")
+    still = entries.join(gathered.select(F.col("open").alias("entry")).distinct(), "entry", "left_semi")
     placed = (
-        entries.join(parts, F.col("doc_id") == F.col("node"), "left")
+        still.join(parts, F.col("doc_id") == F.col("node"), "left")
         .withColumn("component", F.coalesce("component", "doc_id")).drop("node")
     )
     mixed = placed.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
