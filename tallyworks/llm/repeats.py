@@ -8,8 +8,8 @@ equal symbols in their interior, whatever stands around them and wherever they
 are. For each symbol we keep the words that decided it; it is interior to a window
 that holds them all.
 
-Every window of ``window`` words takes one of its interior symbols (of the highest
-level that has any, the one with the smallest hash). Consecutive windows that
+Every window of ``window`` words takes three interior symbols in a row (of the highest
+level that has any, those with the smallest hash). Consecutive windows that
 take the same one form a piece. Equal windows take equal symbols, so only pieces
 whose symbol occurs more than once can repeat anything. Equal pieces are settled as a whole;
 windows of pieces that share a symbol but differ are verified one by one.
@@ -28,6 +28,7 @@ from tallyworks.llm.shared import documents, mix, powers, word_bounds, word_hash
 
 WINDOW = 20
 LEVELS = 2
+JOINED = 3             # symbols in a row that tell a window's passage from others
 AT_ONCE = 1 << 18      # bytes of text that are handled together
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xA24BAED4963EE407
@@ -53,6 +54,16 @@ class Symbols:
     def shorter(self, level: int) -> Symbols:
         return self._runs()._pairs(level)
 
+    def joined(self, count: int) -> Symbols:
+        """Each ``count`` symbols in a row as one, where they are of one document."""
+        n = max(len(self.name) - count + 1, 0)
+        end = slice(count - 1, count - 1 + n)
+        name = self.name[:n]
+        for i in range(1, count):
+            name = mix(name * _ODD + mix(self.name[i:i + n]))
+        whole = self.first[:n] == self.first[end]
+        return Symbols(name[whole], self.low[:n][whole], self.high[end][whole], self.first[:n][whole], self.last[:n][whole])
+
     def _runs(self) -> Symbols:
         name = self.name
         begins = np.ones(len(name), dtype=bool)
@@ -111,17 +122,19 @@ def pieces_of(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, window: i
     symbols = Symbols(hashes, np.arange(n), np.arange(n) + 1, first, last)
     key = np.zeros(len(starts), dtype=np.uint64)
     where = np.full(len(starts), -1, dtype=np.int64)
-    for level in range(levels + 1):
-        # higher levels are tried later and replace what lower ones gave
-        value = mix(symbols.name + np.uint64(level))
-        lo = np.searchsorted(symbols.low, starts, "left")
-        hi = np.searchsorted(symbols.high, starts + window, "right")
+    # what is tried later, and tells more, replaces what came before; a single word is always there
+    units = symbols
+    for level in range(levels + 2):
+        value = mix(units.name + np.uint64(level))
+        lo = np.searchsorted(units.low, starts, "left")
+        hi = np.searchsorted(units.high, starts + window, "right")
         found = _least_in_ranges(value, lo, np.maximum(lo, hi))
         some = found >= 0
         key[some] = value[found[some]]
-        where[some] = found[some] * (levels + 1) + level
-        if level < levels:
+        where[some] = found[some] * (levels + 2) + level
+        if level:
             symbols = symbols.shorter(level)
+        units = symbols.joined(JOINED)
     new = np.ones(len(starts), dtype=bool)
     new[1:] = (where[1:] != where[:-1]) | (starts[1:] != starts[:-1] + 1)
     at = np.flatnonzero(new)
