@@ -31,6 +31,7 @@ FREQUENT = 64          # prefixes that hold a token for it to count as frequent
 PAIRED = 240           # sets up to this size pair their frequent tokens
 BLOCK = 4_096          # sets of an entry that one task compares with one another
 AT_ONCE = 1 << 18
+RECENT = 1 << 16       # pairs that a task remembers having named
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -157,7 +158,7 @@ class _Entry:
 def _new(pairs: set[tuple[int, int]], seen: set[tuple[int, int]]) -> list[tuple[int, int]]:
     """The pairs that this task has not named lately; many entries hold the same sets."""
     found = pairs - seen
-    if len(seen) > 1 << 20:
+    if len(seen) > RECENT:
         seen.clear()
     seen |= found
     return sorted(found)
