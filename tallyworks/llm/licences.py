@@ -94,7 +94,9 @@ def scan(
         F.slice("_w", F.lit(1), F.greatest(F.size("_w") - 1, F.lit(0))), F.slice("_w", F.lit(2), F.greatest(F.size("_w") - 1, F.lit(0))),
         lambda a, b: F.concat_ws(" ", a, b),
     ))
-    cut = sized.select(id_column, "line_no", pairs.alias("_pairs")).where(
+    # A text of so many different words has at least as many bigrams, less one.
+    few = F.size(F.array_distinct("_w")) - 1 <= largest
+    cut = sized.select(id_column, "line_no", F.when(few, pairs).alias("_pairs")).where(
         F.size("_pairs").between(smallest, largest)
     )
 
