@@ -10,11 +10,17 @@ Burrows-Wheeler transform is expanded: intervals of suffixes that begin alike
 are extended backwards by one byte, breadth first, which yields the lengths of common
 prefixes in increasing order. The expansion stops at ``length``: the places
 not reached by then share that much.
+
+An anchor with more pieces than a transform may hold (a common line, a row of
+dashes) has them dealt out again by wider strings, twice as long each time and as long as
+the windows in the end, when equal keys mean equal windows. Equal windows still meet,
+because they take equal strings at every width.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +35,7 @@ ANCHOR = 32
 AT_ONCE = 1 << 18      # bytes of text that are handled together
 _BASE = 0x9FB21C651E98DF25
 _BACK = pow(_BASE, -1, 1 << 64)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = table_of(29, 256)
 
 
@@ -42,10 +49,11 @@ def _least_at(value: np.ndarray, width: int) -> np.ndarray:
     return place
 
 
-def pieces_of(data: np.ndarray, last: np.ndarray, length: int, anchor: int):
+def pieces_of(data: np.ndarray, last: np.ndarray, length: int, anchor: int, apart: bool = False):
     """``(key, whole, start, n)``: pieces of ``n`` windows of texts that follow one another.
 
-    ``last`` gives for each byte where its text ends.
+    ``last`` gives for each byte where its text ends. ``apart`` takes ``whole`` from another
+    hash than ``key``, for anchors as long as the windows.
     """
     size = len(data)
     none = np.zeros(0, dtype=np.int64)
@@ -64,6 +72,9 @@ def pieces_of(data: np.ndarray, last: np.ndarray, length: int, anchor: int):
     at = np.flatnonzero(new)
     n = np.diff(np.append(at, len(windows)))
     begin = windows[at]
+    if apart:
+        sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(mix(_BYTE)[data] * powers(size, _BACK))))
+        back = powers(size + 1, _BASE)
     whole = mix((sums[begin + n + length - 1] - sums[begin]) * back[begin])
     return hashes[own[at]], whole, begin, n
 
@@ -117,6 +128,35 @@ def _texts_of_pieces(length: int):
     return extract
 
 
+def _cut_again(length: int, width: int):
+    """Pieces of crowded anchors, cut by strings of ``width`` bytes; the new keys hold the old ones."""
+    def cut(batches):
+        for batch in batches:
+            wanted = batch.column(2)
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                data = np.frombuffer(text.encode("utf-8"), dtype=np.uint8)
+                own = wanted[i].as_py()
+                for first in range(0, len(own), 500):
+                    yield cut_some(batch.column(0)[i].as_py(), data, own[first:first + 500])
+
+    def cut_some(doc_id, data, wanted):
+        begin = np.array([p["start"] for p in wanted], dtype=np.int64)
+        sizes = np.array([p["n"] for p in wanted], dtype=np.int64) + length - 1
+        edges = np.concatenate(([0], np.cumsum(sizes)))
+        joined = np.concatenate([data[a:a + size] for a, size in zip(begin.tolist(), sizes.tolist())])
+        key, whole, start, n = pieces_of(joined, np.repeat(edges[1:], sizes), length, width, apart=True)
+        of = np.searchsorted(edges, start, "right") - 1
+        old = np.array([p["key"] for p in wanted], dtype=np.int64).view(np.uint64)
+        key = mix(old[of] * _ODD + key)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(key.view(np.int64)), pa.array(whole.view(np.int64)), pa.array([doc_id] * len(of), pa.int64()),
+             pa.array((start - edges[of] + begin[of]).astype(np.int32)), pa.array(n.astype(np.int32))],
+            names=["key", "whole", "doc_id", "start", "n"],
+        )
+
+    return cut
+
+
 def _piece_rows(out: list[tuple]) -> pa.RecordBatch:
     kinds = {"key": pa.int64(), "c": pa.int64(), "whole": pa.int64(), "piece": pa.binary()}
     return pa.RecordBatch.from_arrays(
@@ -218,12 +258,13 @@ def _settle(length: int):
         waiting, size = [], 0
         for table in runs(batches, ["key"]):
             rows = zip(table["key"].to_pylist(), table["c"].to_pylist(), table["whole"].to_pylist(), table["piece"].to_pylist())
-            for key, c, whole, piece in rows:
-                waiting.append((key, whole if c == 1 else None, piece))
-                size += len(piece)
-            if size >= AT_ONCE:
+            own = [(key, whole if c == 1 else None, piece) for key, c, whole, piece in rows]
+            more = sum(len(piece) for _, _, piece in own)
+            if waiting and size + more > AT_ONCE:
                 yield emit(waiting)
                 waiting, size = [], 0
+            waiting += own
+            size += more
         if waiting:
             yield emit(waiting)
 
@@ -234,35 +275,50 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
     """``(doc_id, ranges array<struct<start, n>>)``: starts of byte strings of ``length`` that start elsewhere too.
 
     The first pass gathers keys only. Texts are sent for single pieces whose anchor
-    has other pieces, and for one of each class of equal pieces beside them.
+    has other pieces, and for one of each class of equal pieces beside them. Anchors
+    with more pieces than ``AT_ONCE`` bytes may hold are cut again instead.
     """
-    pieces = written(
-        docs.select("doc_id", "text").mapInArrow(
-            _cut(length, anchor), "key long, whole long, doc_id long, start int, n int"
-        ), "byte-pieces",
-    )
-    often = pieces.groupBy("key").agg(
-        F.count(F.lit(1)).alias("c"), (F.min("whole") != F.max("whole")).alias("varied")
-    ).where("c > 1").drop("c")
-    shared = written(pieces.join(often, "key"), "shared-byte-pieces")
-    classes = shared.groupBy("key", "whole").agg(
-        F.min(F.struct("doc_id", "start")).alias("at"), F.first("n").alias("n"), F.first("varied").alias("varied"),
-        F.count(F.lit(1)).alias("c"),
-    )
-    equal = shared.join(classes.where("c > 1").select("key", "whole"), ["key", "whole"]).select("doc_id", "start", "n")
-    doubtful = classes.where("varied").select(
-        "key", "whole", "c", "n", F.col("at.doc_id").alias("_id"), F.col("at.start").alias("start")
-    )
-    wanted = doubtful.groupBy("_id").agg(F.collect_list(F.struct("key", "whole", "c", "start", "n")).alias("wanted"))
-    texts = docs.join(wanted, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "wanted").mapInArrow(
-        _texts_of_pieces(length), "key long, c long, whole long, piece binary"
-    )
-    settled = in_groups(texts, ["key"], ["whole"]).mapInArrow(_settle(length), "key long, whole long, at int, m int")
-    single = (
-        settled.join(doubtful.select("key", "whole", "_id", "start"), ["key", "whole"])
-        .select(F.col("_id").alias("doc_id"), (F.col("start") + F.col("at")).alias("start"), F.col("m").alias("n"))
-    )
-    return equal.unionByName(single).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("ranges"))
+    schema = "key long, whole long, doc_id long, start int, n int"
+    pieces = written(docs.select("doc_id", "text").mapInArrow(_cut(length, anchor), schema), "byte-pieces")
+    width, ranges = anchor, []
+    while True:
+        fitting = max(AT_ONCE // (2 * length - width), 1)  # a piece holds its anchor in all its windows
+        often = pieces.groupBy("key").agg(
+            F.count(F.lit(1)).alias("c"), (F.min("whole") != F.max("whole")).alias("varied")
+        ).where("c > 1").select("key", "varied", (F.col("varied") & (F.col("c") > fitting)).alias("crowded"))
+        shared = written(pieces.join(often, "key"), "shared-byte-pieces")
+        classes = shared.groupBy("key", "whole").agg(
+            F.min(F.struct("doc_id", "start")).alias("at"), F.first("n").alias("n"), F.first("varied").alias("varied"),
+            F.first("crowded").alias("crowded"), F.count(F.lit(1)).alias("c"),
+        )
+        ranges.append(
+            shared.join(classes.where("c > 1").select("key", "whole"), ["key", "whole"]).select("doc_id", "start", "n")
+        )
+        if width >= length:  # a piece is a window: what is not equal is different
+            break
+        places = classes.where("varied").select(
+            "key", "whole", "c", "n", "crowded", F.col("at.doc_id").alias("_id"), F.col("at.start").alias("start")
+        )
+        doubtful = places.where("NOT crowded").drop("crowded")
+        wanted = doubtful.groupBy("_id").agg(F.collect_list(F.struct("key", "whole", "c", "start", "n")).alias("wanted"))
+        texts = docs.join(wanted, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "wanted").mapInArrow(
+            _texts_of_pieces(length), "key long, c long, whole long, piece binary"
+        )
+        settled = in_groups(texts, ["key"], ["whole"]).mapInArrow(_settle(length), "key long, whole long, at int, m int")
+        ranges.append(
+            settled.join(doubtful.select("key", "whole", "_id", "start"), ["key", "whole"])
+            .select(F.col("_id").alias("doc_id"), (F.col("start") + F.col("at")).alias("start"), F.col("m").alias("n"))
+        )
+        if shared.where("crowded").isEmpty():
+            break
+        width = min(2 * width, length)
+        again = places.where("crowded").groupBy("_id").agg(F.collect_list(F.struct("key", "start", "n")).alias("wanted"))
+        pieces = written(
+            docs.join(again, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "wanted")
+            .mapInArrow(_cut_again(length, width), schema), "byte-pieces",
+        )
+    found = reduce(DataFrame.unionByName, ranges)
+    return found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("ranges"))
 
 
 def _kept(length: int):

@@ -166,6 +166,26 @@ def test_repeated_bytes(spark, seed, length, anchor):
     assert sum(v[1] for v in found.values()) > 0
 
 
+def test_a_common_line_is_dealt_out(spark, monkeypatch):
+    """No group of one anchor exceeds a transform, and windows that repeat beside a common line are found."""
+    rng = random.Random(6)
+    line, dashes = "".join(rng.choice("abcdefgh") for _ in range(190)), "-" * 120
+    around = lambda: "".join(rng.choice("klmnop") for _ in range(90))
+    rows = [(i, around() + (line if i % 2 else dashes) + around()) for i in range(3000)]
+    rows += [(3000 + i, "x" + rows[7 * i][1][20 + i % 60:380 - i % 50]) for i in range(60)]
+    sizes, in_groups = [], suffixes.in_groups
+
+    def spy(frame, keys, order):
+        largest = frame.groupBy(*keys).agg(F.sum(F.length("piece")).alias("s")).agg(F.max("s")).first()[0]
+        sizes.append(largest or 0)
+        return in_groups(frame, keys, order)
+
+    monkeypatch.setattr(suffixes, "in_groups", spy)
+    got = suffixes.remove_repeats(frame(spark, rows)).collect()
+    assert {r[0]: (r[1], r[2], r[3], bytes(r[4])) for r in got} == without_repeated_bytes(rows, 200)
+    assert sizes and max(sizes) <= suffixes.AT_ONCE
+
+
 def test_interval_expansion_finds_long_common_prefixes():
     rng = np.random.default_rng(1)
     parts = [np.append(rng.integers(0, 3, 40), 256 + i) for i in range(30)]
