@@ -25,10 +25,18 @@ def keep_good(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One row of each group of similar documents. Texts without words are similar to none and stay."""
-    groups = ngrams.similar_groups(docs, SHINGLE, SIMILAR)
-    extra = groups.where("doc_id != component_id").select("doc_id")
-    return docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of similar documents, of the smallest id. Texts without words are similar to none and stay.
+
+    Rows are compared under numbers written beside them: ids may be null, which counts as largest, or repeated.
+    """
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    groups = ngrams.similar_groups(rows.select(F.col("_row").alias("doc_id"), "text"), SHINGLE, SIMILAR)
+    named = groups.select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", "doc_id"), "_row")
+    first = named.groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_first"), F.count(F.lit(1)).alias("c")
+    ).where("c > 1")
+    extra = named.join(first, "component_id").where("_row != _first").select("_row")
+    return rows.join(extra, "_row", "left_anti").select(*docs.columns)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -42,12 +50,9 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, folder: str) ->
 
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The rows of the mixture; a document that is used in several epochs stands there as often."""
-    chosen = mixing.mix(mixing.with_leaf(docs, mixing.words("text"))).select(F.col("doc_id").alias("_id"), "times")
-    return (
-        docs.join(chosen, F.col("doc_id") == F.col("_id"))
-        .withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("times"))))
-        .select(*docs.columns)
-    )
+    rows = docs.withColumn("_row", F.struct(*docs.columns))
+    chosen = mixing.mix(mixing.with_leaf(rows, mixing.words("text"), ("_row",)), keep=("_row",))
+    return chosen.withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("times")))).select("_row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

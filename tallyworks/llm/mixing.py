@@ -29,13 +29,14 @@ SEED = 17
 SLICES = 4_096     # parts of a leaf's order that are summed before one of them is cut
 
 
-def with_leaf(docs: DataFrame, tokens: Column) -> DataFrame:
-    """The leaf of each document: its source's group is the domain. Null names count as ''."""
+def with_leaf(docs: DataFrame, tokens: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The leaf of each document, and the columns ``keep``: its source's group is the domain. Null names count as ''."""
     source = F.coalesce("source", F.lit(""))
     return docs.select(
         "doc_id",
         F.when(source == "src0", "src0").otherwise("other").alias("domain"),
         F.coalesce("lang", F.lit("")).alias("lang"), source.alias("source"), tokens.cast("long").alias("tokens"),
+        *keep,
     )
 
 
@@ -99,6 +100,7 @@ def mix(
     epochs: int = EPOCHS,
     seed: int = SEED,
     slices: int = SLICES,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """``(doc_id, domain, lang, source, tokens, times)``: the documents of the mixture and how often each is used.
 
@@ -106,7 +108,8 @@ def mix(
     orders of its documents drawn with the seed; the leaf gets the longest prefix
     of all its epochs, one after the other, within its target. Documents without tokens
     are not used. Equal texts and repeated rows are separate documents as long as
-    their ids differ; rows of one id share its place in the order. An empty table
+    their ids differ; rows of one id share its place in the order. The columns ``keep`` stay beside a row;
+    rows without an id are placed, and rows of one id ordered, by them. An empty table
     gives an empty result.
 
     The prefix is found without sorting a leaf: the order is cut into slices by its
@@ -120,7 +123,8 @@ def mix(
         (F.col("target") % F.col("tokens")).alias("_rest"),
     )
     drawn = ranked.drop("_at").join(plan, LEVELS)
-    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_whole").cast("string"), F.col("doc_id").cast("string")))
+    name = F.coalesce(F.col("doc_id").cast("string"), *([F.xxhash64(*keep).cast("string")] if keep else []))
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_whole").cast("string"), name))
     drawn = drawn.withColumn("_order", order).withColumn(
         "_slice", F.conv(F.left("_order", F.lit(8)), 16, 10).cast("long") % slices
     )
@@ -130,12 +134,12 @@ def mix(
     placed = drawn.join(sums, [*LEVELS, "_slice"])
     inside = placed.where("_before + _n <= _rest").withColumn("_more", F.lit(1))
     beyond = placed.where("_before >= _rest").withColumn("_more", F.lit(0))
-    rows = Window.partitionBy(*LEVELS, "_slice").orderBy("_order", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    rows = Window.partitionBy(*LEVELS, "_slice").orderBy("_order", "doc_id", *keep).rowsBetween(Window.unboundedPreceding, 0)
     cut = placed.where("_before < _rest AND _before + _n > _rest").withColumn(
         "_more", (F.col("_before") + F.sum("tokens").over(rows) <= F.col("_rest")).cast("int")
     )
     return inside.unionByName(beyond).unionByName(cut).select(
-        "doc_id", *LEVELS, "tokens", (F.col("_whole") + F.col("_more")).cast("int").alias("times")
+        "doc_id", *LEVELS, "tokens", (F.col("_whole") + F.col("_more")).cast("int").alias("times"), *keep
     ).where("times > 0")
 
 

@@ -142,11 +142,16 @@ def _spans(gaps: Column, matches: Column, ends: Column, kind: str, is_base: bool
     return spans
 
 
-def candidates(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``(id, found)``, whatever the id was called: all proposed spans of each document, overlapping or not."""
+def candidates(docs: DataFrame, id_column: str, text_column: str, whole: bool = False) -> DataFrame:
+    """``(id, found)``, whatever the id was called: all proposed spans of each document, overlapping or not.
+
+    With ``whole``, ``row`` beside them holds the document's columns.
+    """
+    row = [F.struct(*docs.columns).alias("row")] if whole else []
+    kept = ["id", *(["row"] if whole else [])]
     generators = [(kind, BASE[kind], True) for kind in KINDS] + [(kind, WIDER[kind], False) for kind in WIDER]
-    cut = docs.select(F.col(id_column).alias("id"), F.coalesce(text_column, F.lit("")).alias("text")).select(
-        "id",
+    cut = docs.select(F.col(id_column).alias("id"), F.coalesce(text_column, F.lit("")).alias("text"), *row).select(
+        *kept,
         *[F.split("text", pattern, -1).alias(f"gaps_{i}") for i, (_, pattern, _) in enumerate(generators)],
         *[F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias(f"matches_{i}")
           for i, (_, pattern, _) in enumerate(generators)],
@@ -157,7 +162,7 @@ def candidates(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
             lambda a, b: (F.length(a) + F.length(b)).cast("bigint"),
         )).alias(f"ends_{i}") for i in range(len(generators))
     ])
-    return placed.select("id", F.concat(*[
+    return placed.select(*kept, F.concat(*[
         _spans(F.col(f"gaps_{i}"), F.col(f"matches_{i}"), F.col(f"ends_{i}"), kind, is_base)
         for i, (kind, _, is_base) in enumerate(generators)
     ]).alias("found"))
@@ -291,11 +296,17 @@ def detect(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     alike; columns other than the two are not read, whatever their names. With
     no candidates at all, nothing is learnt and nothing added.
     """
-    found = written(candidates(docs, id_column, text_column), "pii-candidates")
+    spans = _judged(written(candidates(docs, id_column, text_column), "pii-candidates"))
+    return spans.select(F.col("id").alias(id_column), "base", "spans")
+
+
+def _judged(found: DataFrame) -> DataFrame:
+    """The candidates' ``base`` and ``spans`` in place of ``found``; see ``detect``."""
     model, threshold = fit(found)
     accept = _accepted(model, threshold)
+    kept = [c for c in found.columns if c != "found"]
     judged = found.select(
-        F.col("id").alias(id_column), F.filter("found", lambda s: s["base"]).alias("base"),
+        *kept, F.filter("found", lambda s: s["base"]).alias("base"),
         F.filter("found", lambda s: ~s["teaches"] & accept(s)).alias("wider"),
     )
     more = F.filter("wider", lambda s: ~F.exists("base", lambda b: _overlap(s, b)))
@@ -304,8 +315,8 @@ def detect(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
         F.struct(o["start"], o["end"], o["kind"]) < F.struct(s["start"], s["end"], s["kind"]))))
     plain = lambda spans: F.array_sort(F.transform(
         spans, lambda s: F.struct(s["start"], s["kind"], s["end"])))
-    return judged.select(id_column, "base", more.alias("more")).select(
-        id_column, plain("base").alias("base"), plain(F.concat("base", one)).alias("spans")
+    return judged.select(*kept, "base", more.alias("more")).select(
+        *kept, plain("base").alias("base"), plain(F.concat("base", one)).alias("spans")
     )
 
 
@@ -319,10 +330,11 @@ def _named(spans: str) -> Column:
 def redact(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows with every span replaced by its kind, as in ``[email]``; where spans overlap, by the first one's.
 
-    All columns stay, in order. A null text stays null. Ids must be distinct.
+    All columns stay, in order. A null text stays null. A row carries its own spans,
+    so ids may be null or repeated.
     """
-    spans = detect(docs, id_column, text_column).select(F.col(id_column).alias("_id"), F.col("spans").alias("_spans"))
-    joined = docs.join(spans.where(F.size("_spans") > 0), F.col(id_column) == F.col("_id"), "left")
+    found = written(candidates(docs, id_column, text_column, whole=True), "pii-rows")
+    joined = _judged(found).select("row.*", F.col("spans").alias("_spans"))
     names = F.array(*map(F.lit, KINDS))
     # sweep over the spans: keep what lies between them
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("upto"))
@@ -337,7 +349,7 @@ def redact(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
         ),
         lambda at: F.concat(at["out"], F.substr(F.col(text_column), (at["upto"] + 1).cast("int"))),
     )
-    text = F.when(F.col("_spans").isNull(), F.col(text_column)).otherwise(swept)
+    text = F.when(F.size("_spans") == 0, F.col(text_column)).otherwise(swept)
     return joined.select(*[text.alias(c) if c == text_column else F.col(c) for c in docs.columns])
 
 

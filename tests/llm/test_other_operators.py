@@ -300,3 +300,30 @@ def test_pipeline_on_odd_rows(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.written(stage(spark, docs, SMALL), "odd-stage")
         assert docs.count() <= len(own) * mixing.EPOCHS
+
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_redact_with_null_and_repeated_ids(spark):
+    texts = [(None, "to a@b.co now"), (None, None), (5, "to a@b.co now"), (5, "to a@b.co now"), (5, "plain")]
+    docs = spark.createDataFrame([(i, t, "en", "src1", 0) for i, t in texts], COLUMNS)
+    got = corpus_pipeline.replace_personal_data(spark, docs, SMALL).select("doc_id", "text").collect()
+    expected = [(None, "to [email] now"), (None, None), (5, "to [email] now"), (5, "to [email] now"), (5, "plain")]
+    assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
+
+
+def test_near_copies_with_null_and_repeated_ids(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyz")
+    texts = [(7, one), (7, one), (None, one), (3, two), (3, three), (None, two), (None, three + " more"), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "src1", 0) for i, t in texts], COLUMNS).repartition(3)
+    got = corpus_pipeline.drop_near_copies(spark, docs, SMALL).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(7, one), (3, two), (3, three), (None, None)], key=str)
+
+
+@pytest.mark.parametrize("ids", [[None] * 10, [5] * 10])
+def test_mixture_with_null_and_repeated_ids(spark, ids):
+    """Of ten rows of one word, 60 per cent are used, each once."""
+    docs = spark.createDataFrame([(i, f"w{n}", "en", "src1", 2) for n, i in enumerate(ids)], COLUMNS)
+    got = corpus_pipeline.mix_sources(spark, docs, SMALL).collect()
+    assert len(got) == len(set(got)) == 6 and set(got) <= set(docs.collect())
