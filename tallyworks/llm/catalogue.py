@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import bpe, collisions, licences, mixing, ngrams, pii, pivots, quality, repeats, suffixes
+from tallyworks.llm import (
+    bpe, collisions, lexical, licences, lines, mixing, ngrams, pii, pivots, quality, repeats, suffixes, tries,
+)
 from tallyworks.llm.shared import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,9 +34,16 @@ def queries() -> dict[str, Query]:
         "op8_licences": licences.op8_licences,
         "op9_quality": quality.op9_quality,
         "op10_suffix_dedup": suffixes.op10_suffix_dedup,
+        "op11_lexical_search": lexical.op11_lexical_search,
+        "op12_line_dedup": lines.op12_line_dedup,
+        "op13_prefix_trie": tries.op13_prefix_trie,
     }
     return {name: _shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": mixing.mixing_sql(), "op8_licences": licences.licences_sql()}
+    return {
+        "op7_mixing": mixing.mixing_sql(), "op8_licences": licences.licences_sql(),
+        "op11_lexical_search": lexical.lexical_sql(), "op12_line_dedup": lines.lines_sql(),
+        "op13_prefix_trie": tries.trie_sql(),
+    }
