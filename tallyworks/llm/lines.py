@@ -203,7 +203,8 @@ def drop_repeated_lines(
         found = found.where("NOT (_row = _first._row AND line_no = _first.line_no)")
     dropped = written(found.groupBy("_row").agg(F.collect_list("line_no").alias("dropped")), "line-drops")
     kind = docs.select(F.col(id_column).alias("_id")).schema["_id"].dataType.simpleString()
-    return rows.join(dropped, "_row", "left").select("_row", "_id", "_text", "dropped").mapInArrow(
+    # both sides grow with the documents, so they meet by a shuffle at every size
+    return rows.join(dropped.hint("merge"), "_row", "left").select("_row", "_id", "_text", "dropped").mapInArrow(
         _without, f"_row long, _id {kind}, kept_text string, n_lines long, n_dropped long"
     ).select(F.col("_id").alias(id_column), "kept_text", "n_lines", "n_dropped")
 
