@@ -9,15 +9,20 @@ from pyspark.sql import functions as F
 
 # Rows that a join may make of one key in one task.
 HOT_ROWS = 2_000_000
+# Keys that are split at most. A key beyond them has at most that share of all rows the join makes.
+MOST_HOT = 10_000
 
 
-def hot_keys(frames: list[DataFrame], keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``(*keys, split, salts)``: every key whose join has more than ``hot_rows`` rows.
+def hot_keys(frames: list[DataFrame], keys: list[str], hot_rows: int = HOT_ROWS, most: int = MOST_HOT) -> DataFrame:
+    """``(*keys, split, salts)``: every key whose join has more than ``hot_rows`` rows, the ``most`` largest of them.
 
     What counts is the product of a key's rows over the frames, so a key that is
     moderate in each of them is found too. ``split`` is the frame with most of its
     rows, ``salts`` the number of parts that it is cut into: as many as needed, no more than
     it has rows. A key that is null, or lacks in one frame, joins nothing and is not listed.
+
+    The bound makes the list safe to broadcast. It costs nothing in balance: of ``most`` + 1 keys
+    the smallest has less than a ``most``-th of the rows.
     """
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     tagged = [frame.select(*keys, F.lit(i).alias("_frame")).where(present) for i, frame in enumerate(frames)]
@@ -26,11 +31,11 @@ def hot_keys(frames: list[DataFrame], keys: list[str], hot_rows: int = HOT_ROWS)
     )
     counts = [F.col(f"_n{i}") for i in range(len(frames))]
     rows = reduce(lambda a, b: a * b, [c.cast("double") for c in counts])
-    most = F.greatest(*counts)
-    return counted.where(rows > hot_rows).select(
+    largest = F.greatest(*counts)
+    return counted.where(rows > hot_rows).orderBy(rows.desc(), *keys).limit(most).select(
         *keys,
-        (F.array_position(F.array(*counts), most) - 1).cast("int").alias("split"),
-        F.least(F.ceil(rows / hot_rows), most.cast("double")).cast("int").alias("salts"),
+        (F.array_position(F.array(*counts), largest) - 1).cast("int").alias("split"),
+        F.least(F.ceil(rows / hot_rows), largest.cast("double")).cast("int").alias("salts"),
     )
 
 
@@ -45,6 +50,9 @@ def salted_inner_join(frames: list[DataFrame], keys: list[str], spread: list[str
     count as hot decides about speed only: ``hot`` may come from the frames before
     they were filtered.
 
+    Rows learn their salt before any shuffle on the key: ``hot`` has a bounded number of rows
+    (see ``hot_keys``), so it is sent to every task.
+
     ``spread`` names one integer column per frame, dropped from the result. A
     task that is run again must find the same value for the same row, so derive
     it from the row's content, or number the rows directly on a file scan;
@@ -58,6 +66,7 @@ def salted_inner_join(frames: list[DataFrame], keys: list[str], spread: list[str
         every = F.sequence(F.lit(0), F.col("salts") - 1)
         salt = F.when(F.col("salts").isNull(), F.array(F.lit(0))).when(F.col("split") == i, own).otherwise(every)
         salted.append(
-            frame.join(hot, keys, "left").withColumn("_salt", F.explode(salt)).drop("split", "salts", spread[i])
+            frame.join(F.broadcast(hot), keys, "left")
+            .withColumn("_salt", F.explode(salt)).drop("split", "salts", spread[i])
         )
     return reduce(lambda a, b: a.join(b, [*keys, "_salt"], "inner"), salted).drop("_salt")

@@ -8,9 +8,16 @@ another value, and lets ``%`` and ``_`` in keys act as wildcards.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.sinks import tables
+
+GRAM = 10                  # longest piece of a key that is looked up
+BITS_A_GRAM = 16
+LEAST_BITS, MOST_BITS = 1 << 14, 1 << 28    # of a filter; the larger one is 32 MB in a task
+PAIRS = 200_000            # key and row pairs of one gram that one task verifies
+
 
 def with_empty_key(keys: DataFrame) -> DataFrame:
     """The distinct keys, and the empty key as soon as there is any error at all:
@@ -25,63 +32,132 @@ def quarantine_by_key(frame: DataFrame, key: str, errors: DataFrame) -> DataFram
     return frame.join(bad, frame[key] == bad["entity_key"], "left_anti")
 
 
-def _pieces(rows: DataFrame, probes: DataFrame) -> DataFrame:
-    """Every piece of every row that is as long as some probe: ``(original_row, piece)``."""
-    # One entry per distinct key length, so this one-row value stays small.
-    lengths = probes.agg(F.collect_set(F.length("probe"))).scalar()
-    return (
-        rows.select("original_row", F.explode(lengths).alias("n"))
-        .where(F.length("original_row") >= F.col("n"))
-        .select("original_row", "n", F.explode(F.expr("sequence(1, length(original_row) - n + 1)")).alias("i"))
-        .select("original_row", F.expr("substring(original_row, i, n)").alias("piece"))
-    )
-
-
-def keys_found_in_rows(keys: DataFrame, errors: DataFrame) -> DataFrame:
-    """Those ``keys.entity_key`` for which some ``original_row LIKE '%' || key || '%'`` holds.
-
-    A substring test has no equality to join on, and comparing every key with
-    every logged row would be a cross join. So each row is cut into all its
-    pieces of the lengths that occur among the keys, and the match becomes an
-    equality. The number of pieces per row is its length times the number of key
-    lengths, usually one.
-
-    A key with wildcards is looked up by its longest literal part and then
-    checked with LIKE; a key of wildcards alone needs only a row long enough.
-    """
-    keys = keys.select("entity_key").where(F.col("entity_key").isNotNull()).distinct()
+def _probes(keys: DataFrame) -> DataFrame:
+    """``(entity_key, wild, literals, pattern, any_chars)``: each distinct key and the literal parts between its wildcards."""
     # A backslash escapes a wildcard that follows it and is itself anywhere else.
     wildcard = F.col("entity_key").rlike(r"(?<!\\)[%_]")
     runs = F.regexp_extract_all("entity_key", F.lit(r"((?:\\[%_]|[^%_])+)"), 1)
-    literals = F.transform(runs, lambda run: F.regexp_replace(run, r"\\([%_])", "$1"))
-    longest = F.array_sort(F.transform(literals, lambda p: F.struct(-F.length(p), p.alias("part"))))
-    probes = keys.select(
+    return keys.select("entity_key").where(F.col("entity_key").isNotNull()).distinct().select(
         "entity_key",
         wildcard.alias("wild"),
-        F.when(wildcard, F.coalesce(F.get(longest, 0)["part"], F.lit("")))
-        .otherwise(F.regexp_replace("entity_key", r"\\([%_])", "$1")).alias("probe"),
+        F.filter(F.transform(runs, lambda run: F.regexp_replace(run, r"\\([%_])", "$1")), lambda p: p != "").alias("literals"),
         F.regexp_replace("entity_key", r"\\(?![%_])", r"\\\\").alias("pattern"),
         (F.length("entity_key") - F.length(F.replace("entity_key", F.lit("_"), F.lit("")))).alias("any_chars"),
     )
-    rows = errors.select("original_row").where(F.col("original_row").isNotNull()).distinct()
 
-    literal = probes.where("NOT wild AND probe != ''")
-    found = literal.join(
-        _pieces(rows, literal).select("piece").distinct(), F.col("probe") == F.col("piece"), "left_semi"
+
+def _grams_of(part: Column) -> Column:
+    """The pieces of ``GRAM`` characters of a literal part; a shorter part is one piece."""
+    return F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length(part) - GRAM + 1, F.lit(1))), lambda i: F.substring(part, i, F.lit(GRAM))
     )
-    wild = probes.where("wild AND probe != ''")
-    found_wild = wild.join(
-        _pieces(rows, wild),
-        F.expr("probe = piece AND original_row LIKE concat('%', pattern, '%')"),
-        "left_semi",
+
+
+def gram_filter(grams: DataFrame, bits: int) -> Column:
+    """A Bloom filter of ``grams(gram)`` as one value: an array of 64-bit words, ``bits`` bits in all."""
+    words = bits // 64
+    marked = grams.select(F.explode(F.array(*_bit_places(F.col("gram"), bits))).alias("at")).select(
+        F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, CAST(at & 63 AS INT))").alias("mask")
     )
+    empty = grams.sparkSession.range(words).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("mask"))
+    filled = marked.unionByName(empty).groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    ordered = F.array_sort(F.collect_list(F.struct("word", "mask")))
+    return filled.agg(F.transform(ordered, lambda w: w["mask"]).alias("words")).scalar()
+
+
+def _bit_places(gram: Column, bits: int) -> list[Column]:
+    hashed = F.xxhash64(gram)
+    return [hashed.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(hashed, 32).bitwiseAND(F.lit(bits - 1))]
+
+
+def pieces_in(rows: DataFrame, grams: DataFrame, bits: int, *keep: str) -> DataFrame:
+    """``(piece, *keep)``: the pieces of ``rows.original_row`` that may be among ``grams(gram)``, one row per place.
+
+    Every piece of the lengths that occur among the grams is tested against a filter of the grams where it is cut, so
+    that only few others go on to a shuffle.
+    """
+    # One entry per distinct length, at most GRAM of them.
+    lengths = grams.agg(F.collect_set(F.length("gram"))).scalar()
+    cut = (
+        rows.select("original_row", *keep, gram_filter(grams, bits).alias("_words"), F.explode(lengths).alias("_n"))
+        .where(F.length("original_row") >= F.col("_n"))
+        .select("original_row", *keep, "_words", "_n", F.explode(F.expr("sequence(1, length(original_row) - _n + 1)")).alias("_i"))
+        .withColumn("piece", F.expr("substring(original_row, _i, _n)"))
+    )
+    places = {f"_at{k}": at for k, at in enumerate(_bit_places(F.col("piece"), bits))}
+    held = [F.expr(f"shiftrightunsigned(_words[CAST({at} >> 6 AS INT)], CAST({at} & 63 AS INT)) & 1L = 1") for at in places]
+    return cut.withColumns(places).where(held[0] & held[1]).select("piece", *keep)
+
+
+def _filter_bits(grams: int) -> int:
+    """Filter size for a number of grams, a power of two. It decides about speed only."""
+    return min(max(1 << (grams * BITS_A_GRAM).bit_length(), LEAST_BITS), MOST_BITS)
+
+
+def rarest_grams(probes: DataFrame, rows: DataFrame, bits: int) -> DataFrame:
+    """``(entity_key, gram, df)``: for each key that has several grams the one found in the fewest places of ``rows``.
+
+    Keys with a gram that is found nowhere are left out: they occur in no row.
+    """
+    grams = probes.select("entity_key", F.explode(F.array_distinct(F.flatten(F.transform("literals", _grams_of)))).alias("gram"))
+    counts = pieces_in(rows, grams.select("gram").distinct(), bits).groupBy("piece").agg(F.count(F.lit(1)).alias("df"))
+    ranked = grams.join(counts, F.col("gram") == F.col("piece"), "left")
+    least = ranked.groupBy("entity_key").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram")).alias("least"))
+    return least.where("least.df > 0").select("entity_key", F.col("least.gram").alias("gram"), F.col("least.df").alias("df"))
+
+
+def keys_found_in_rows(keys: DataFrame, errors: DataFrame, bits: int | None = None, pairs: int = PAIRS) -> DataFrame:
+    """Those ``keys.entity_key`` for which some ``original_row LIKE '%' || key || '%'`` holds.
+
+    A substring test has no equality to join on, and comparing every key with
+    every logged row would be a cross join. So rows are cut into pieces of up to
+    ``GRAM`` characters, and a key is looked up by one of its own pieces:
+
+    - a plain key of at most ``GRAM`` characters is its own piece; if a row has it, the key is found;
+    - any other key takes the piece of its literal parts that stands in the fewest places of
+      all rows, and LIKE verifies it on the rows that have that piece;
+    - a key of wildcards alone needs only a row long enough.
+
+    A piece is shuffled only if a Bloom filter of the pieces looked for holds it. ``bits`` is the filter's
+    size, by default sized by the number of keys; beyond ``MOST_BITS`` more pieces pass and the result is the same. Where a piece is common, so that its keys and rows make more than
+    ``pairs`` pairs, its rows are dealt out to several tasks and its keys repeated in each.
+    """
+    # Both are read several times: the keys are made distinct once, the log is computed once.
+    probes = tables.scratch(_probes(keys), "probes")
+    rows = tables.scratch(errors.select("original_row").where(F.col("original_row").isNotNull()), "logged-rows")
+    plain = (~F.col("wild")) & (F.length(F.get("literals", F.lit(0))) <= GRAM)
+    has_literal = F.size("literals") > 0
+    n_short, n_others = probes.agg(F.count_if(has_literal & plain), F.count_if(has_literal & ~plain)).first()
+
     longest_row = rows.agg(F.max(F.length("original_row"))).scalar()
-    found_short = probes.where((F.col("probe") == "") & (F.col("any_chars") <= longest_row))
-    return (
-        found.select("entity_key")
-        .unionByName(found_wild.select("entity_key"))
-        .unionByName(found_short.select("entity_key"))
+    found = probes.where(~has_literal & (F.col("any_chars") <= longest_row)).select("entity_key")
+    if n_short:
+        short = probes.where(has_literal & plain).select("entity_key", F.get("literals", F.lit(0)).alias("gram"))
+        pieces = pieces_in(rows, short.select("gram"), bits or _filter_bits(n_short)).distinct()
+        found = found.unionByName(short.join(pieces, F.col("gram") == F.col("piece"), "left_semi").select("entity_key"))
+    if n_others:
+        others = probes.where(has_literal & ~plain)
+        found = found.unionByName(_found_by_grams(others, rows, bits or _filter_bits(GRAM * n_others), pairs))
+    return found
+
+
+def _found_by_grams(probes: DataFrame, rows: DataFrame, bits: int, pairs: int) -> DataFrame:
+    """The keys of ``probes`` that occur in ``rows``, looked up by their rarest grams and verified with LIKE."""
+    chosen = tables.scratch(rarest_grams(probes, rows, bits), "rarest-grams")
+    sizes = chosen.groupBy("gram").agg(F.count(F.lit(1)).alias("n_keys"), F.max("df").alias("df"))
+    dealt = sizes.select(
+        "gram", F.least(F.greatest(F.ceil(F.col("n_keys") * F.col("df") / pairs), F.lit(1)), F.col("df")).cast("int").alias("salts")
+    )
+    # The row a piece stands in goes along, for LIKE; its hash says which part of a common piece it belongs to.
+    held = pieces_in(rows, dealt.select("gram"), bits, "original_row").distinct()
+    salted_rows = held.join(dealt, F.col("piece") == F.col("gram")).select(
+        "piece", F.pmod(F.xxhash64("original_row"), F.col("salts")).cast("int").alias("salt"), "original_row"
+    )
+    salted_keys = probes.join(chosen.select("entity_key", "gram"), "entity_key").join(dealt, "gram").select(
+        "entity_key", "pattern", "gram", F.explode(F.expr("sequence(0, salts - 1)")).alias("salt_of")
     )
+    matches = F.expr("gram = piece AND salt_of = salt AND original_row LIKE concat('%', pattern, '%')")
+    return salted_keys.join(salted_rows, matches, "left_semi").select("entity_key").distinct()
 
 
 def quarantine_by_text(frame: DataFrame, key: str, errors: DataFrame) -> DataFrame:

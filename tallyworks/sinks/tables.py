@@ -24,6 +24,23 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/tallyworks/{name}-{uuid.uuid4().hex}"
 
 
+def scratch(frame: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table and read it back, for one that is used several times.
+
+    It stays until ``drop_scratch``: results that are read from it are computed when they are asked for.
+    """
+    spark = frame.sparkSession
+    path = fresh_path(spark, f"scratch/{name}")
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables; call it when no result that rests on them is read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/tallyworks/scratch")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_orc(frame: DataFrame, path: str, mode: str = "errorifexists") -> None:
     frame.write.mode(mode).orc(path)
 
