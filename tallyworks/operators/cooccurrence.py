@@ -18,6 +18,7 @@ from tallyworks.functions import text as T
 from tallyworks.operators.words import keep_listed
 
 LOCAL_AGGREGATIONS = ("none", "line", "task")
+STRIPE_PARTS = 8
 
 
 def _check(distance: int, local_agg: str) -> None:
@@ -68,37 +69,27 @@ def gap_counts(
 def _gap_counts_by_line(lines: DataFrame, vocabulary: DataFrame, distance: int, line: str) -> DataFrame:
     """``gap_counts`` with the pairs of a line counted inside the line.
 
-    No shuffle before the counts are summed: each pair of a line becomes one
-    number, the numbers are sorted in their array and counted by run length. The
-    vocabulary travels with the lines as one array, which suits lists of up to a
-    few hundred words; without such a bound use another ``local_agg``.
+    The listed words of a line are found by a join, whatever the size of the vocabulary, and gathered again
+    with their slots, so that only they are shuffled, once. In the ordered slots of a line the neighbours of a word
+    are among the next ``distance`` entries. The pairs of the line are sorted in their array and counted by run length.
+
+    ``lines`` must be as it is scanned: lines are told apart by their position in the scan.
     """
-    listed = vocabulary.toDF("w").agg(F.array_sort(F.collect_set("w")).alias("listed")).scalar()
-    slots = lines.select(T.letter_slots(line).alias("slots"), listed.alias("listed"))
-    numbered = slots.select(
-        F.expr("transform(slots, w -> array_position(listed, w))").alias("p"),
-        (F.size("listed") + F.lit(1)).cast("long").alias("base"),
-    )
-    # (gap, word, neighbor) as one number; 0 where a word is not listed
-    by_gap = [
-        f"zip_with(p, slice(p, {gap} + 1, greatest(size(p), 1)),"
-        f" (a, b) -> if(a > 0 AND b > 0, ({gap} * base + a) * base + b, 0L))"
-        for gap in range(1, distance + 1)
+    numbered = lines.select(F.monotonically_increasing_id().alias("_line"), T.letter_slots(line).alias("slots"))
+    slots = numbered.select("_line", F.posexplode("slots").alias("slot", "word"))
+    listed = keep_listed(slots.where("word != ''"), "word", vocabulary)
+    gathered = listed.groupBy("_line").agg(F.sort_array(F.collect_list(F.struct("slot", "word"))).alias("s"))
+    following = [
+        f"zip_with(s, slice(s, {o} + 1, size(s)), (a, b) -> if(b.slot - a.slot <= {distance},"
+        " struct(b.slot - a.slot AS gap, a.word AS word, b.word AS neighbor), NULL))"
+        for o in range(1, distance + 1)
     ]
-    coded = numbered.select(F.expr(f"array_sort(filter(concat({', '.join(by_gap)}), c -> c > 0))").alias("codes"))
-    run_ends = "filter(transform(codes, (c, i) -> if(c <=> get(codes, i + 1), -1, i)), i -> i >= 0)"
-    runs = coded.select("codes", F.expr(run_ends).alias("ends")).select(
-        F.inline(F.expr(
-            "transform(ends, (e, i) -> struct(codes[e] AS code, CAST(e - coalesce(get(ends, i - 1), -1) AS LONG) AS n))"
-        ))
-    )
-    counts = runs.groupBy("code").agg(F.sum("n").alias("n")).select("code", "n", listed.alias("listed"))
-    return counts.withColumn("base", (F.size("listed") + F.lit(1)).cast("long")).selectExpr(
-        "CAST(code DIV (base * base) AS INT) AS gap",
-        "listed[CAST(code DIV base % base AS INT) - 1] AS word",
-        "listed[CAST(code % base AS INT) - 1] AS neighbor",
-        "n",
-    )
+    pairs = gathered.select(F.expr(f"sort_array(filter(concat({', '.join(following)}), p -> p IS NOT NULL))").alias("ps"))
+    ends = "filter(transform(ps, (p, i) -> if(p <=> get(ps, i + 1), -1, i)), i -> i >= 0)"
+    runs = "transform(ends, (e, i) -> struct(ps[e] AS p, CAST(e - coalesce(get(ends, i - 1), -1) AS LONG) AS n))"
+    # Not plain ``inline``: for that, Spark would filter by the size of the array and compute it once more for it.
+    counted = pairs.select("ps", F.expr(ends).alias("ends")).select(F.inline_outer(F.expr(runs))).where("p IS NOT NULL")
+    return counted.groupBy("p").agg(F.sum("n").alias("n")).select("p.*", "n")
 
 
 def mirrored(counts: DataFrame) -> DataFrame:
@@ -143,13 +134,24 @@ def distance_sweep(
     )
 
 
-def stripes(pairs: DataFrame) -> DataFrame:
+def stripe_parts(pairs: DataFrame, parts: int = STRIPE_PARTS) -> DataFrame:
+    """``(word, part, stripe)``: the map of a word cut by the hash of the neighbour, for vocabularies of any size."""
+    part = F.pmod(F.xxhash64("neighbor"), F.lit(parts)).cast("int")
+    return pairs.groupBy("word", part.alias("part")).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("neighbor", "n")))).alias("stripe")
+    )
+
+
+def stripes(pairs: DataFrame, parts: int = STRIPE_PARTS) -> DataFrame:
     """``(word, stripe)``: one map per word, neighbour to count, built from finished pair counts.
 
-    A map holds at most the vocabulary.
+    A map is built in ``parts`` parts, each in a task of its own, and merged last: what one task gathers
+    entry by entry is a part, and what it merges is the finished map. A map that may be larger than
+    a task stays in its parts, see ``stripe_parts``.
     """
-    entries = F.array_sort(F.collect_list(F.struct("neighbor", "n")))
-    return pairs.groupBy("word").agg(F.map_from_entries(entries).alias("stripe"))
+    built = stripe_parts(pairs, parts).select("word", F.map_entries("stripe").alias("entries"))
+    entries = F.array_sort(F.flatten(F.collect_list("entries")))
+    return built.groupBy("word").agg(F.map_from_entries(entries).alias("stripe"))
 
 
 def unstriped(striped: DataFrame) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions import text as T
-from tallyworks.functions.stemming import stem_arrays
+from tallyworks.functions.stemming import stem_arrays, stem_vocabulary
 from tallyworks.operators.ranking import top_k
+from tallyworks.sinks import tables
 
 # Word lists carry no broadcast hint. Spark broadcasts one when its size is below
 # ``spark.sql.autoBroadcastJoinThreshold``, and knows that size for the result of a
@@ -97,11 +98,50 @@ def top_terms(frequencies: DataFrame, k: int = 100) -> DataFrame:
     return top_k(frequencies, [F.desc("df"), F.asc("term")], k)
 
 
-def _stemmed_occurrences(corpus: DataFrame, key: str, text: str, normalize: bool, revised: bool) -> DataFrame:
-    """``(doc_id, term)``, one row per token."""
-    tokens = T.letter_digit_tokens(text) if normalize else T.raw_tokens(text)
-    frame, stems = stem_arrays(corpus.select(F.col(key).alias("doc_id"), tokens.alias("tokens")), "tokens", revised)
-    return frame.select("doc_id", F.explode(stems).alias("term")).where("term != ''")
+def _tokens(text: str, normalize: bool) -> Column:
+    return T.letter_digit_tokens(text) if normalize else T.raw_tokens(text)
+
+
+def token_dictionary(
+    corpus: DataFrame, terms: DataFrame, text: str = "text", normalize: bool = False, revised: bool = True
+) -> DataFrame:
+    """``(token, *terms)``: every distinct token of the corpus whose stem is ``terms.term``.
+
+    Each distinct token is stemmed once, however often it occurs. The result is written, so
+    that Spark knows its size when it chooses how to join it.
+    """
+    tokens = corpus.select(F.explode(F.array_distinct(_tokens(text, normalize))).alias("token"))
+    # Written before the join: Spark would move the join's conditions below the steps of the stemmer and nest them.
+    stems = tables.scratch(stem_vocabulary(tokens, "token", revised), "stems")
+    return tables.scratch(stems.join(terms, stems["stem"] == terms["term"]).drop("stem"), "token-dictionary")
+
+
+def _token_counts(corpus: DataFrame, key: str, text: str, normalize: bool) -> DataFrame:
+    """``(doc_id, token, n)``, each distinct token of a row once, counted by run length in the row's own sorted array."""
+    ordered = corpus.select(F.col(key).alias("doc_id"), F.sort_array(_tokens(text, normalize)).alias("ts"))
+    ends = "filter(transform(ts, (t, i) -> if(t <=> get(ts, i + 1), -1, i)), i -> i >= 0)"
+    runs = "transform(ends, (e, i) -> struct(ts[e] AS token, CAST(e - coalesce(get(ends, i - 1), -1) AS LONG) AS n))"
+    # Not plain ``inline``: for that, Spark would test the size of the array in a filter at the scan, computing it anew.
+    counted = ordered.select("doc_id", "ts", F.expr(ends).alias("ends")).select("doc_id", F.inline_outer(F.expr(runs)))
+    return counted.where("token IS NOT NULL")
+
+
+def term_counts(
+    corpus: DataFrame,
+    terms: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    normalize: bool = False,
+    revised: bool = True,
+) -> DataFrame:
+    """``(doc_id, *terms, tf)``: how often each listed term stands in each document.
+
+    Tokens are counted inside the row and meet the dictionary as distinct tokens; nothing is stemmed per occurrence.
+    Rows may be documents or pieces of them.
+    """
+    listed = token_dictionary(corpus, terms, text, normalize, revised)
+    counts = _token_counts(corpus, key, text, normalize)
+    return counts.join(listed, "token").groupBy("doc_id", *terms.columns).agg(F.sum("n").alias("tf"))
 
 
 def term_frequency(
@@ -117,12 +157,7 @@ def term_frequency(
     Tokens keep case and punctuation before stemming, so ``State,`` does not
     count for ``state``. ``normalize`` cleans them as ``document_frequency`` does.
     """
-    terms = _stemmed_occurrences(corpus, key, text, normalize, revised)
-    return (
-        keep_listed(terms, "term", vocabulary)
-        .groupBy("doc_id", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    return term_counts(corpus, vocabulary.toDF("term").distinct(), key, text, normalize, revised)
 
 
 def tf_idf(
@@ -145,12 +180,6 @@ def tf_idf(
         n_docs = corpus.agg(F.countDistinct(key)).scalar()
     elif not isinstance(n_docs, Column):
         n_docs = F.lit(n_docs)
-    listed = frequencies.select(F.col("term").alias("_term"), "df")
-    terms = _stemmed_occurrences(corpus, key, text, normalize, revised)
-    counts = (
-        terms.join(listed, terms["term"] == listed["_term"])
-        .groupBy("doc_id", "term", "df")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    counts = term_counts(corpus, frequencies.select("term", "df"), key, text, normalize, revised)
     weight = T.inverse_document_frequency(n_docs, F.col("df"), idf)
     return counts.select("doc_id", "term", (F.col("tf") * weight).alias("tfidf"))

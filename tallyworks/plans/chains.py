@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.operators import bag_reports, reports, words
+from tallyworks.operators import bag_reports, cooccurrence, reports, words
 from tallyworks.plans import catalogue as C
 from tallyworks.plans import standins, warehouse
 from tallyworks.sinks import tables
+from tallyworks.sinks import text as text_sinks
 from tallyworks.sources import corpus, records
 
 
@@ -56,16 +57,79 @@ def chain_bag_top3(spark, folder):
     return bag_reports.top_courses(_loaded_export(spark, folder))
 
 
-def corpus_from_files(spark, folder):
-    """Lines of files whose names are the document ids: one folder of files for each tenth of the documents."""
+def _corpus_folders(spark: SparkSession, folder: str) -> str:
+    """The documents as files, each under its id, line breaks within a text kept out of the way."""
     path = tables.fresh_path(spark, "corpus")
-    docs = standins.documents(spark, folder).select(
-        F.regexp_replace(F.col("text"), "[\r\n]", " ").alias("value"), (F.col("doc_id") % 10).alias("tenth")
-    )
-    docs.repartition(10, "tenth").sortWithinPartitions("tenth").write.partitionBy("tenth").text(path)
-    lines = corpus.read_corpus_lines(spark, path)
-    # file names are the writer's, so the query keeps what does not depend on them
-    return lines.select("line", (F.length("doc_id") > 0).alias("has_id"))
+    one_line = F.regexp_replace(F.col("text"), "[\r\n]", " ")
+    text_sinks.write_documents(standins.documents(spark, folder).select("doc_id", one_line.alias("text")), path)
+    return path
+
+
+def corpus_from_files(spark, folder):
+    """Documents read back from files, each with the id of the folder it was read from."""
+    return corpus.read_document_folders(spark, _corpus_folders(spark, folder))
+
+
+def chain_top_words_pairs(spark, folder):
+    """Two jobs: the top words are counted into a text file, and pairs of them are counted from the list in that file."""
+    docs, path = standins.documents(spark, folder), tables.fresh_path(spark, "top-words")
+    stop = corpus.read_exact_stop_words(spark, _word_file(spark, C.STOP_WORDS))
+
+    def count():
+        return words.top_words(docs, stop_words=stop, k=C.TOP_WORDS)
+
+    text_sinks.write_once(spark, count, path, "word", "n")
+    listed = corpus.read_frequent_words(spark, corpus.finished(spark, path))
+    return cooccurrence.cooccurrence_pairs(standins.corpus_lines(spark, folder), listed, C.MAX_DISTANCE)
+
+
+def chain_tfidf(spark, folder):
+    """Three jobs over files: documents as files, terms and their frequency as a text file, scores by document file."""
+    lines = corpus.read_document_folders(spark, _corpus_folders(spark, folder))
+    stop = corpus.read_stop_words(spark, _word_file(spark, [f"  {w.upper()} " for w in C.STOP_WORDS]))
+    path = tables.fresh_path(spark, "term-frequencies")
+
+    def count():
+        return words.top_terms(words.document_frequency(lines, "line", stop), C.TOP_TERMS)
+
+    text_sinks.write_once(spark, count, path, "term", "df")
+    listed = corpus.read_document_frequencies(spark, corpus.finished(spark, path))
+    scores = words.tf_idf(lines, listed, text="line")
+    return scores.withColumn("tfidf", F.round("tfidf", 6))
+
+
+def chain_warehouse_from_log(spark, folder):
+    """The log is stored by source, one source is logged again, and the quarantine by text reads what is stored."""
+    sources = standins.attendance(spark, folder), standins.enrollment(spark, folder), standins.grade_roster(spark, folder)
+    path = tables.fresh_path(spark, "stored-log")
+    log = warehouse.keyed_error_records(*sources)
+    # first an older run of one source, which the newer one replaces
+    warehouse.store_error_log(log.where("source_table = 'enrollment_data'").limit(3), path)
+    warehouse.store_error_log(log, path)
+    return C._warehouse_text(warehouse.build_warehouse_from_log(*sources, path))
+
+
+BUCKETS = 16
+
+
+def _bucketed_roster(spark: SparkSession, folder: str) -> DataFrame:
+    path = tables.fresh_path(spark, "roster-bucketed")
+    name = "roster_" + path.rsplit("-", 1)[1]
+    roster = standins.roster(spark, folder)
+    tables.write_partitioned_bucketed(roster, name, path, buckets=BUCKETS)
+    return spark.table(name).select(*roster.columns)
+
+
+def roster_avg_mode_bucketed(spark, folder):
+    return reports.average_and_mode(_bucketed_roster(spark, folder), C.CONTAINS)
+
+
+def roster_pct_below_bucketed(spark, folder):
+    return reports.percentage_below(_bucketed_roster(spark, folder), C.ENDS_IN)
+
+
+def roster_top3_bucketed(spark, folder):
+    return reports.top_courses(_bucketed_roster(spark, folder), C.ENDS_IN)
 
 
 def _word_file(spark: SparkSession, entries: list[str]) -> str:
@@ -114,7 +178,8 @@ def partitions_overwritten(spark, folder):
 QUERIES = [
     chain_avg_mode, chain_pct_below, chain_top3, chain_bag_avg_mode, chain_bag_pct_below, chain_bag_top3,
     corpus_from_files, words_without_exact_stop_words, terms_without_trimmed_stop_words, error_table_appended,
-    partitions_overwritten,
+    partitions_overwritten, chain_top_words_pairs, chain_tfidf, chain_warehouse_from_log,
+    roster_avg_mode_bucketed, roster_pct_below_bucketed, roster_top3_bucketed,
 ]
 
 

@@ -159,14 +159,23 @@ def _valid(name: str, table: str, source: str, key: str, by_text: bool) -> str:
 
 
 def _fact(att: str, enr: str, grd: str) -> str:
-    return f"""SELECT e.student_id, e.student_name, e.program, e.batch, e.course,
-    array_to_string(e.primary_faculty, ';') AS faculty, e.course_type, e.period,
-    CAST({SHORT_DATE.replace('enrollment_date', 'e.enrollment_date')} AS VARCHAR) AS enrollment_date,
-    a.classes_attended, a.classes_absent, CAST(a.avg_attendance_percent AS VARCHAR) AS avg_attendance_percent,
-    g.obtained_marks_grade AS obtained_grade, g.out_of_marks_grade AS total_marks, g.exam_result
-  FROM {enr} e, {att} a, {grd} g
-  WHERE a.member_id_hash = e.student_id AND g.student_id = e.student_id
-    AND a.course = e.course AND g.subject_code_name = e.course"""
+    """Each student and course once, with what the three sources say of it as three lists; the lists are un-nested one
+    after another, and a pair for which a source has nothing unfolds to no row."""
+    return f"""SELECT student_id, e.student_name, e.program, e.batch, course, e.faculty, e.course_type, e.period,
+    e.enrollment_date, a.classes_attended, a.classes_absent, a.avg_attendance_percent,
+    g.obtained_grade, g.total_marks, g.exam_result
+  FROM (SELECT *, unnest(gs) AS g FROM (SELECT *, unnest(aa) AS a FROM (SELECT *, unnest(es) AS e FROM (
+    SELECT student_id, course, list(e) FILTER (e IS NOT NULL) AS es, list(a) FILTER (a IS NOT NULL) AS aa,
+      list(g) FILTER (g IS NOT NULL) AS gs
+    FROM (
+      SELECT student_id, course, {{'student_name': student_name, 'program': program, 'batch': batch,
+          'faculty': array_to_string(primary_faculty, ';'), 'course_type': course_type, 'period': period,
+          'enrollment_date': CAST({SHORT_DATE} AS VARCHAR)}} AS e, NULL AS a, NULL AS g FROM {enr}
+      UNION ALL SELECT member_id_hash, course, NULL, {{'classes_attended': classes_attended, 'classes_absent': classes_absent,
+          'avg_attendance_percent': CAST(avg_attendance_percent AS VARCHAR)}}, NULL FROM {att}
+      UNION ALL SELECT student_id, subject_code_name, NULL, NULL, {{'obtained_grade': obtained_marks_grade,
+          'total_marks': out_of_marks_grade, 'exam_result': exam_result}} FROM {grd})
+    WHERE student_id IS NOT NULL AND course IS NOT NULL GROUP BY student_id, course))))"""
 
 
 def _warehouse(by_text: bool) -> str:

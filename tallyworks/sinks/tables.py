@@ -37,8 +37,26 @@ def scratch(frame: DataFrame, name: str) -> DataFrame:
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete all intermediate tables; call it when no result that rests on them is read any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/tallyworks/scratch")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    at, system = _path(spark, f"{shared_folder(spark).rstrip('/')}/tallyworks/scratch")
+    system.delete(at, True)
+
+
+def _path(spark: SparkSession, path: str):
+    """A path and its file system, which may be one that only Spark can reach."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly under ``path``; none if it is not there."""
+    at, system = _path(spark, path)
+    return [str(f.getPath()) for f in system.listStatus(at) if f.isDirectory()] if system.exists(at) else []
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether the job that writes ``path`` has left its commit marker there."""
+    at, system = _path(spark, f"{path}/_SUCCESS")
+    return system.exists(at)
 
 
 def write_orc(frame: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -106,8 +124,7 @@ def overwrite_partitions(frame: DataFrame, path: str, partition: str = "batch")
 def read_partitioned(spark: SparkSession, path: str, schema) -> DataFrame:
     """Scan a partitioned layout as plain files.
 
-    Reading through the bucketed table would run one task per bucket. The file
-    scan keeps partition pruning and splits files freely; the reports aggregate
-    before their shuffle, so little is left for bucketing to save.
+    The file scan keeps partition pruning and splits files freely. Reading the bucketed table by its name
+    runs one task per bucket instead, and groups by the bucket column without a shuffle.
     """
     return spark.read.schema(schema).orc(path)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyworks.sinks.tables import is_complete
+
 
 def key_value_lines(frame: DataFrame, *columns: str) -> DataFrame:
     """One text column ``value``, the given columns joined by tabs."""
@@ -15,6 +19,27 @@ def write_key_value(frame: DataFrame, path: str, *columns: str) -> None:
     key_value_lines(frame, *columns).write.text(path)
 
 
+def write_once(spark: SparkSession, make: Callable[[], DataFrame], path: str, *columns: str) -> bool:
+    """The output of a job as key and value lines, unless an earlier run has finished it: whether it was made now.
+
+    Spark leaves a commit marker when all tasks have ended. A chain of jobs that is started again after a failure finds it
+    and goes on from there; output without it is replaced.
+    """
+    if is_complete(spark, path):
+        return False
+    key_value_lines(make(), *columns).write.mode("overwrite").text(path)
+    return True
+
+
+def write_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> None:
+    """One folder ``document=<id>`` with the document's text for each document, for jobs that know documents by their place.
+
+    Rows are brought together by id before, so a document is one file however its rows were spread.
+    """
+    rows = docs.select(F.col(doc_id).cast("string").alias("document"), F.col(text).alias("value"))
+    rows.repartition("document").write.partitionBy("document").option("lineSep", "\n").text(path)
+
+
 def pair_lines(pairs: DataFrame) -> DataFrame:
     """Pair counts as text, ``word,neighbor<TAB>n`` in one column ``value``."""
     return key_value_lines(pairs.withColumn("pair", F.concat_ws(",", "word", "neighbor")), "pair", "n")

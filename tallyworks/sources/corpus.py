@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyworks.sinks.tables import is_complete
+
 
 def read_corpus_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per line of every file under ``path``: ``(doc_id, line)``.
@@ -20,6 +22,18 @@ def read_corpus_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_document_folders(spark: SparkSession, path: str) -> DataFrame:
+    """``(doc_id, line)`` of a corpus with one folder ``document=<id>`` for each document, as ``write_documents`` leaves it.
+
+    The id is taken from where a line was read, not from what the file holds.
+    """
+    folder = F.regexp_extract("_metadata.file_path", r"/document=([^/]+)/[^/]*$", 1)
+    name = F.url_decode(F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))))
+    return spark.read.schema("value string").text(path, lineSep="\n", recursiveFileLookup=True).select(
+        name.alias("doc_id"), F.col("value").alias("line")
+    )
+
+
 def lines_of(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Cut a text column at line feeds: ``(doc_id, line_no, line)``, lines counted from 0."""
     return documents.select(
@@ -37,6 +51,13 @@ def read_stop_words(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.lower(F.trim("value")).alias("word"))
 
 
+def finished(spark: SparkSession, path: str) -> str:
+    """``path``, if the job that writes it has left its commit marker there; half of a list is never read."""
+    if not is_complete(spark, path):
+        raise FileNotFoundError(f"no complete output of an earlier job in {path}")
+    return path
+
+
 def read_frequent_words(spark: SparkSession, path: str) -> DataFrame:
     """First tab-separated field of each line, lowercased; blank entries dropped."""
     word = F.lower(F.split_part(F.col("value"), F.lit("\t"), F.lit(1)))
