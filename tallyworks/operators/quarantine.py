@@ -78,15 +78,22 @@ def pieces_in(rows: DataFrame, grams: DataFrame, bits: int, *keep: str) -> DataF
     """
     # One entry per distinct length, at most GRAM of them.
     lengths = grams.agg(F.collect_set(F.length("gram"))).scalar()
+    words = gram_filter(grams, bits)
+    carried = dict.fromkeys(["original_row", *keep])
     cut = (
-        rows.select("original_row", *keep, gram_filter(grams, bits).alias("_words"), F.explode(lengths).alias("_n"))
+        rows.select(*carried, F.explode(lengths).alias("_n"))
         .where(F.length("original_row") >= F.col("_n"))
-        .select("original_row", *keep, "_words", "_n", F.explode(F.expr("sequence(1, length(original_row) - _n + 1)")).alias("_i"))
-        .withColumn("piece", F.expr("substring(original_row, _i, _n)"))
+        .select(*carried, "_n", F.explode(F.expr("sequence(1, length(original_row) - _n + 1)")).alias("_i"))
+        .select(*keep, F.expr("substring(original_row, _i, _n)").alias("piece"))
     )
-    places = {f"_at{k}": at for k, at in enumerate(_bit_places(F.col("piece"), bits))}
-    held = [F.expr(f"shiftrightunsigned(_words[CAST({at} >> 6 AS INT)], CAST({at} & 63 AS INT)) & 1L = 1") for at in places]
-    return cut.withColumns(places).where(held[0] & held[1]).select("piece", *keep)
+
+    def held(at: Column) -> Column:
+        # the filter stays a constant of the expression; as a column it would be copied into every row
+        word, bit = F.get(words, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")
+        return F.call_function("shiftrightunsigned", word, bit).bitwiseAND(F.lit(1)) == 1
+
+    first, second = _bit_places(F.col("piece"), bits)
+    return cut.where(held(first) & held(second)).select("piece", *keep)
 
 
 def _filter_bits(grams: int) -> int:

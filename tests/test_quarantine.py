@@ -2,9 +2,11 @@
 
 import re
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from tallyworks.operators import quarantine
 from tallyworks.operators.quarantine import keys_found_in_rows, quarantine_by_key, quarantine_by_text
 
 
@@ -59,3 +61,30 @@ def test_text_form_agrees_with_like(spark, keys, rows):
     found = keys_found_in_rows(spark.createDataFrame([(k,) for k in keys], "entity_key string"), errors)
     wanted = {k for k in keys if any(occurs(k, r) for r in rows)}
     assert sorted(r["entity_key"] for r in found.collect()) == sorted(wanted)
+
+
+@pytest.mark.parametrize("bits,pairs", [(None, 200_000), (1 << 14, 50)])
+def test_a_thousand_wildcard_keys_with_one_common_part(spark, bits, pairs):
+    """Every key begins with the same two letters, which stand in every row; common pieces are dealt to several tasks."""
+    rows = [f"L,AB{i % 7}{i},name {i},a longer literal part {i % 50}" for i in range(0, 1500, 3)]
+    keys = [f"AB_{i}" for i in range(1000)] + [f"longer literal part {i}" for i in range(60)] + ["AB%part", "%zzz%", "_", ""]
+    found = quarantine.keys_found_in_rows(
+        spark.createDataFrame([(k,) for k in keys], "entity_key string"),
+        spark.createDataFrame([(r,) for r in rows], "original_row string").repartition(3), bits, pairs,
+    )
+
+    def like(key):
+        pattern = re.compile("".join({"_": ".", "%": ".*"}.get(c, re.escape(c)) for c in key))
+        return any(pattern.search(row) for row in rows)
+
+    assert sorted(r[0] for r in found.collect()) == sorted(k for k in keys if like(k))
+
+
+def test_common_pieces_are_split(spark):
+    """One piece that stands in every row, for many keys: no salted part of it holds more than its share."""
+    rows = spark.range(2000).selectExpr("concat('ABCDEFGHIJ', id) AS original_row")
+    probes = spark.range(50).selectExpr(
+        "concat('ABCDEFGHIJ%', id) AS entity_key", "array('ABCDEFGHIJ') AS literals"
+    )
+    chosen = quarantine.rarest_grams(probes, rows, 1 << 14).collect()
+    assert {(r["gram"], r["df"]) for r in chosen} == {("ABCDEFGHIJ", 2000)}
