@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyworks.llm.pii import _let
 from tallyworks.llm.shared import documents
 
 # The wording of common notices.
@@ -87,30 +90,34 @@ def scan(
             F.array(F.when(F.size("_lines") > 1, F.array_join("_lines", " ")).otherwise(F.lit(""))), F.col("_lines")
         )).alias("line_no", "_line"),
     )
-    # a line has at least as many characters as its bigrams need, so most short lines go unread
-    worded = units.where(F.length("_line") >= 2 * smallest).select(id_column, "line_no", _words(F.col("_line")).alias("_w"))
-    sized = worded.where((F.size("_w") > smallest))
-    pairs = F.array_distinct(F.zip_with(
-        F.slice("_w", F.lit(1), F.greatest(F.size("_w") - 1, F.lit(0))), F.slice("_w", F.lit(2), F.greatest(F.size("_w") - 1, F.lit(0))),
-        lambda a, b: F.concat_ws(" ", a, b),
-    ))
+    def pairs_of(words: Column) -> Column:
+        shorter = F.greatest(F.size(words) - 1, F.lit(0))
+        return F.array_distinct(F.zip_with(
+            F.slice(words, F.lit(1), shorter), F.slice(words, F.lit(2), shorter), lambda a, b: F.concat_ws(" ", a, b)
+        ))
+
+    def best_of(pairs: Column) -> Column:
+        size = F.size(pairs)
+
+        def against(name: str, own: list[str]) -> Column:
+            fits = (size >= len(own) * ratio) & (size <= len(own) / ratio)
+            common = F.size(F.array_intersect(pairs, F.array(*map(F.lit, own))))
+            dice = F.when(fits, common * 2.0 / (size + len(own))).otherwise(0.0)
+            return F.struct((-dice).alias("dice"), F.lit(name).alias("licence"))
+
+        return F.when(
+            size.between(math.ceil(smallest), math.floor(largest)), F.array_min(F.array(*[against(name, own) for name, own in sets]))
+        )
+
+    # Each step is the variable of a lambda and the result comes out of a generator: Spark would otherwise put the whole
+    # expression in the place of each of its names, once for every template.
     # A text of so many different words has at least as many bigrams, less one.
-    few = F.size(F.array_distinct("_w")) - 1 <= largest
-    cut = sized.select(id_column, "line_no", F.when(few, pairs).alias("_pairs")).where(
-        F.size("_pairs").between(smallest, largest)
-    )
-
-    def against(name: str, own: list[str]) -> Column:
-        size = F.size("_pairs")
-        fits = (size >= len(own) * ratio) & (size <= len(own) / ratio)
-        common = F.size(F.array_intersect("_pairs", F.array(*map(F.lit, own))))
-        dice = F.when(fits, common * 2.0 / (size + len(own))).otherwise(0.0)
-        return F.struct((-dice).alias("dice"), F.lit(name).alias("licence"))
-
-    best = F.array_min(F.array(*[against(name, own) for name, own in sets]))
-    return cut.select(id_column, "line_no", best.alias("_best")).where(F.col("_best.dice") <= -least).select(
-        id_column, "line_no", F.col("_best.licence").alias("licence"), (-F.col("_best.dice")).alias("dice")
-    )
+    best = _let(_words(F.col("_line")), lambda words: F.when(
+        (F.size(words) > smallest) & (F.size(F.array_distinct(words)) - 1 <= largest), _let(pairs_of(words), best_of)
+    ))
+    # a line has at least as many characters as its bigrams need, so most short lines go unread
+    found = units.where(F.length("_line") >= 2 * smallest).select(id_column, "line_no", F.inline_outer(F.array(best)))
+    return found.where(F.col("dice") <= -least).select(id_column, "line_no", "licence", (-F.col("dice")).alias("dice"))
 
 
 def op8_licences(spark: SparkSession, folder: str) -> DataFrame:
