@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions import text as T
+from tallyworks.operators.filters import bit_places, bloom_filter
 from tallyworks.operators.words import keep_listed
 
 LOCAL_AGGREGATIONS = ("none", "line", "task")
 STRIPE_PARTS = 8
+FILTER_BITS = 1 << 15      # of the vocabulary's filter when pairs are counted by line; it decides about speed only
 
 
 def _check(distance: int, local_agg: str) -> None:
@@ -69,16 +71,18 @@ def gap_counts(
 def _gap_counts_by_line(lines: DataFrame, vocabulary: DataFrame, distance: int, line: str) -> DataFrame:
     """``gap_counts`` with the pairs of a line counted inside the line.
 
-    The listed words of a line are found by a join, whatever the size of the vocabulary, and gathered again
-    with their slots, so that only they are shuffled, once. In the ordered slots of a line the neighbours of a word
-    are among the next ``distance`` entries. The pairs of the line are sorted in their array and counted by run length.
-
-    ``lines`` must be as it is scanned: lines are told apart by their position in the scan.
+    No shuffle before the counts are summed. Which words are listed is first asked of a Bloom filter, a few
+    kilobytes whatever the size of the vocabulary, and then, for the counted pairs, of the vocabulary itself by joins. In the
+    ordered slots that pass, the neighbours of a word are among the next ``distance`` entries. The pairs of the line are
+    sorted in their array and counted by run length.
     """
-    numbered = lines.select(F.monotonically_increasing_id().alias("_line"), T.letter_slots(line).alias("slots"))
-    slots = numbered.select("_line", F.posexplode("slots").alias("slot", "word"))
-    listed = keep_listed(slots.where("word != ''"), "word", vocabulary)
-    gathered = listed.groupBy("_line").agg(F.sort_array(F.collect_list(F.struct("slot", "word"))).alias("s"))
+    listed = vocabulary.toDF("_listed")
+    slots = lines.select(T.letter_slots(line).alias("slots"), bloom_filter(listed, "_listed", FILTER_BITS).alias("_filter"))
+    placed = F.transform("slots", lambda w, i: F.struct(
+        i.alias("slot"), w.alias("word"), *[at.alias(f"at{k}") for k, at in enumerate(bit_places(w, FILTER_BITS))]
+    ))
+    held = " AND ".join(f"shiftrightunsigned(_filter[CAST(p.at{k} >> 6 AS INT)], CAST(p.at{k} & 63 AS INT)) & 1L = 1" for k in (0, 1))
+    gathered = slots.select("_filter", placed.alias("s")).select(F.expr(f"filter(s, p -> p.word != '' AND {held})").alias("s"))
     following = [
         f"zip_with(s, slice(s, {o} + 1, size(s)), (a, b) -> if(b.slot - a.slot <= {distance},"
         " struct(b.slot - a.slot AS gap, a.word AS word, b.word AS neighbor), NULL))"
@@ -89,7 +93,8 @@ def _gap_counts_by_line(lines: DataFrame, vocabulary: DataFrame, distance: int,
     runs = "transform(ends, (e, i) -> struct(ps[e] AS p, CAST(e - coalesce(get(ends, i - 1), -1) AS LONG) AS n))"
     # Not plain ``inline``: for that, Spark would filter by the size of the array and compute it once more for it.
     counted = pairs.select("ps", F.expr(ends).alias("ends")).select(F.inline_outer(F.expr(runs))).where("p IS NOT NULL")
-    return counted.groupBy("p").agg(F.sum("n").alias("n")).select("p.*", "n")
+    counts = counted.select("p.*", "n").groupBy("gap", "word", "neighbor").agg(F.sum("n").alias("n"))
+    return keep_listed(keep_listed(counts, "word", vocabulary), "neighbor", vocabulary)
 
 
 def mirrored(counts: DataFrame) -> DataFrame:

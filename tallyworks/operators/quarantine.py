@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.operators.filters import bit_places, bloom_filter
 from tallyworks.sinks import tables
 
 GRAM = 10                  # longest piece of a key that is looked up
@@ -53,23 +54,6 @@ def _grams_of(part: Column) -> Column:
     )
 
 
-def gram_filter(grams: DataFrame, bits: int) -> Column:
-    """A Bloom filter of ``grams(gram)`` as one value: an array of 64-bit words, ``bits`` bits in all."""
-    words = bits // 64
-    marked = grams.select(F.explode(F.array(*_bit_places(F.col("gram"), bits))).alias("at")).select(
-        F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, CAST(at & 63 AS INT))").alias("mask")
-    )
-    empty = grams.sparkSession.range(words).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("mask"))
-    filled = marked.unionByName(empty).groupBy("word").agg(F.bit_or("mask").alias("mask"))
-    ordered = F.array_sort(F.collect_list(F.struct("word", "mask")))
-    return filled.agg(F.transform(ordered, lambda w: w["mask"]).alias("words")).scalar()
-
-
-def _bit_places(gram: Column, bits: int) -> list[Column]:
-    hashed = F.xxhash64(gram)
-    return [hashed.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(hashed, 32).bitwiseAND(F.lit(bits - 1))]
-
-
 def pieces_in(rows: DataFrame, grams: DataFrame, bits: int, *keep: str) -> DataFrame:
     """``(piece, *keep)``: the pieces of ``rows.original_row`` that may be among ``grams(gram)``, one row per place.
 
@@ -78,7 +62,7 @@ def pieces_in(rows: DataFrame, grams: DataFrame, bits: int, *keep: str) -> DataF
     """
     # One entry per distinct length, at most GRAM of them.
     lengths = grams.agg(F.collect_set(F.length("gram"))).scalar()
-    words = gram_filter(grams, bits)
+    words = bloom_filter(grams, "gram", bits)
     carried = dict.fromkeys(["original_row", *keep])
     cut = (
         rows.select(*carried, F.explode(lengths).alias("_n"))
@@ -92,7 +76,7 @@ def pieces_in(rows: DataFrame, grams: DataFrame, bits: int, *keep: str) -> DataF
         word, bit = F.get(words, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")
         return F.call_function("shiftrightunsigned", word, bit).bitwiseAND(F.lit(1)) == 1
 
-    first, second = _bit_places(F.col("piece"), bits)
+    first, second = bit_places(F.col("piece"), bits)
     return cut.where(held(first) & held(second)).select("piece", *keep)
 
 

@@ -110,3 +110,26 @@ def test_stripe_text(spark):
 def test_parameters_are_checked(spark, arguments):
     with pytest.raises(ValueError):
         co.cooccurrence_pairs(*frames(spark, ["a"], ["a"]), **arguments)
+
+
+def test_line_aggregation_with_a_vocabulary_of_twenty_thousand_words(spark):
+    def word(i):  # letters only
+        return "w" + "".join(chr(97 + int(d)) for d in str(i))
+
+    lines = spark.createDataFrame(
+        [(" ".join([word(i), "unlisted", word(i + 1), word(i), ".", word(2 * i)]),) for i in range(0, 30_000, 60)], "line string"
+    )
+    vocabulary = spark.createDataFrame([(word(i),) for i in range(20_000)], "word string")
+    found, plain = (
+        {tuple(r) for r in co.gap_counts(lines, vocabulary, 3, local_agg=how).select("gap", "word", "neighbor", "n").collect()}
+        for how in ("line", "none")
+    )
+    assert found == plain and len(found) > 1000
+
+
+def test_stripes_in_parts_are_whole(spark):
+    pairs = spark.range(20_000).selectExpr("'hot' AS word", "concat('n', id) AS neighbor", "id AS n")
+    assert co.stripe_parts(pairs).count() == co.STRIPE_PARTS
+    striped = co.stripes(pairs)
+    assert striped.count() == 1
+    assert {tuple(r) for r in co.unstriped(striped).collect()} == {("hot", f"n{i}", i) for i in range(20_000)}
