@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.llm import bpe, mixing, ngrams, pii, quality
-from tallyworks.llm.shared import documents, ship_package, written
+from tallyworks.llm.shared import discard, documents, ship_package, written
 
 SHINGLE = 5      # words
 SIMILAR = 80     # per cent
@@ -29,14 +29,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
 
     Rows are compared under numbers written beside them: ids may be null, which counts as largest, or repeated.
     """
-    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    groups = ngrams.similar_groups(rows.select(F.col("_row").alias("doc_id"), "text"), SHINGLE, SIMILAR)
-    named = groups.select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", "doc_id"), "_row")
+    rows = written(docs.select(F.monotonically_increasing_id().alias("number"), F.struct(*docs.columns).alias("row")), "numbered")
+    groups = ngrams.similar_groups(rows.select(F.col("number").alias("doc_id"), "row.text"), SHINGLE, SIMILAR)
+    named = groups.select(F.col("doc_id").alias("number"), "component_id").join(rows.select("number", "row.doc_id"), "number")
     first = named.groupBy("component_id").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_first"), F.count(F.lit(1)).alias("c")
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "number"))["number"].alias("first"), F.count(F.lit(1)).alias("c")
     ).where("c > 1")
-    extra = named.join(first, "component_id").where("_row != _first").select("_row")
-    return rows.join(extra, "_row", "left_anti").select(*docs.columns)
+    extra = named.join(first, "component_id").where("number != first").select("number")
+    return rows.join(extra, "number", "left_anti").select("row.*")
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -50,9 +50,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, folder: str) ->
 
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The rows of the mixture; a document that is used in several epochs stands there as often."""
-    rows = docs.withColumn("_row", F.struct(*docs.columns))
-    chosen = mixing.mix(mixing.with_leaf(rows, mixing.words("text"), ("_row",)), keep=("_row",))
-    return chosen.withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("times")))).select("_row.*")
+    return mixing.choose(docs, mixing.words("text"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -76,7 +74,8 @@ def run(spark: SparkSession, folder: str) -> DataFrame:
     ship_package(spark)
     docs = documents(spark, folder)
     for number, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, folder)
+        given, docs = docs, stage(spark, docs, folder)
         if number < len(STAGES) - 1:
-            docs = written(docs, f"stage-{number}")
+            before, docs = given, written(docs, f"stage-{number}")
+            discard(before)
     return docs

@@ -139,13 +139,14 @@ def nearest_neighbours(
     id. Vectors that are null, empty, zero or hold null or non-finite components
     take no part, neither as queries nor as candidates. Fewer than ``k``
     candidates are all returned; an empty table gives an empty result. Ids must
-    be distinct; other columns are not read.
+    be distinct; a row without one cannot be named in a result and takes no part. Other
+    columns are not read.
 
     Queries go against all rows in blocks: a block of queries and a block of
     rows meet in one task, which keeps no more than a chunk of rows and the
     nearest of each query. The number of blocks follows the counts of the table.
     """
-    rows = embeddings.where(usable(vector_column)).select(
+    rows = embeddings.where(usable(vector_column) & F.col(id_column).isNotNull()).select(
         F.col(id_column).cast("long").alias("vec_id"), as_doubles(vector_column).alias("vector"),
         F.expr(query_condition).alias("is_query"),
     ).withColumn("length", F.size("vector"))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyworks.llm.shared import documents
+from tallyworks.llm.shared import discard, documents, written
 
 LEVELS = ["domain", "lang", "source"]
 
@@ -143,6 +143,66 @@ def mix(
     ).where("times > 0")
 
 
+def choose(
+    docs: DataFrame,
+    tokens: Column,
+    weights: dict[str, dict[str, float]] = WEIGHTS,
+    share: float = SHARE,
+    epochs: int = EPOCHS,
+    seed: int = SEED,
+    slices: int = SLICES,
+) -> DataFrame:
+    """The rows of ``docs`` that the mixture uses, each as often as it is used; columns as given.
+
+    The mixture is that of ``mix``. It is decided on leaf, tokens and order alone, as one
+    cut-off in the order of each leaf, and rows are then held against their leaf's
+    cut-off, so that no text is shuffled. Rows without an id are placed, and rows of one id ordered, by a hash of
+    the row; rows equal in every column are used together or not at all. Rows without tokens are not used.
+    An empty table gives an empty result.
+    """
+    whole = with_leaf(docs.withColumn("_row", F.struct(*docs.columns)), tokens, ("_row",)).where("tokens > 0")
+    digest = F.xxhash64("_row")
+    rows = whole.select(
+        *LEVELS, "tokens", F.coalesce(F.col("doc_id").cast("string"), digest.cast("string")).alias("_name"),
+        digest.alias("_digest"), "_row",
+    )
+    names = written(rows.drop("_row"), "mixture-names")
+    leaves = names.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"))
+    plan = written(budgets(leaves, weights, share, epochs).select(
+        *LEVELS, F.floor(F.col("target") / F.col("tokens")).cast("int").alias("_whole"),
+        (F.col("target") % F.col("tokens")).alias("_rest"),
+    ), "mixture-plan")
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_whole").cast("string"), F.col("_name")))
+    ordered = lambda frame: frame.withColumn("_order", order).withColumn(
+        "_slice", F.conv(F.left("_order", F.lit(8)), 16, 10).cast("long") % slices
+    )
+    drawn = ordered(names.join(plan, LEVELS))
+    before = Window.partitionBy(*LEVELS).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sums = drawn.groupBy(*LEVELS, "_whole", "_rest", "_slice").agg(F.sum("tokens").alias("_n"))
+    # what is left after whole epochs is less than the leaf, so it ends in one of its slices
+    last = (
+        sums.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .where("_before <= _rest AND _rest < _before + _n")
+        .select(*LEVELS, F.col("_slice").alias("_last"), "_before")
+    )
+    # equal rows share an end of the running sum
+    upto = Window.partitionBy(*LEVELS).orderBy("_order", "_digest").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = (
+        drawn.join(last, LEVELS).where("_slice = _last")
+        .withColumn("_upto", F.col("_before") + F.sum("tokens").over(upto))
+    )
+    cuts = written(inside.groupBy(*LEVELS, "_whole", "_last").agg(
+        F.max(F.when(F.col("_upto") <= F.col("_rest"), F.struct("_order", "_digest"))).alias("_cut")
+    ), "mixture-cuts")
+    discard(names)
+    more = (F.col("_slice") < F.col("_last")) | (
+        (F.col("_slice") == F.col("_last"))
+        & F.coalesce(F.struct("_order", "_digest") <= F.col("_cut"), F.lit(False))
+    )
+    used = ordered(rows.join(cuts, LEVELS)).withColumn("_times", F.col("_whole") + more.cast("int")).where("_times > 0")
+    return used.select("_row", F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_epoch")).select("_row.*")
+
+
 def words(column: str) -> Column:
     """The number of words of a text, as its tokens."""
     return F.size(F.filter(F.split(F.coalesce(column, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""))

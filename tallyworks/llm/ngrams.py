@@ -23,7 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm.shared import components, documents, mix, sliding_sums, word_bounds, word_hashes, written
+from tallyworks.llm.shared import (
+    components, discard, documents, mix, sliding_sums, word_bounds, word_hashes, written,
+)
 from tallyworks.llm.vectors import in_groups, runs
 
 COMBINE = 2            # tokens that prefixes share, and that an entry for frequent tokens combines
@@ -307,6 +309,7 @@ def similar_groups(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFr
         entries.join(sizes, "entry").join(ones.select("doc_id", "n", "parity"), "doc_id")
         .withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int")).drop("c"), "ngram-entries",
     )
+    discard(shared)
     block = F.pmod(F.xxhash64("doc_id", "entry"), F.col("blocks")).cast("int")
     gathered = written(
         in_groups(entries.withColumn("part", block), ["entry", "part"], ["n"])

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm.shared import documents, mix, powers, word_bounds, word_hashes, written
+from tallyworks.llm.shared import by_place, discard, documents, mix, powers, word_bounds, word_hashes, written
 
 WINDOW = 20
 LEVELS = 2
@@ -234,6 +234,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, levels: int = LEVELS)
         F.count(F.lit(1)).alias("c"), (F.min("whole") != F.max("whole")).alias("varied")
     ).where("c > 1").drop("c")
     shared = written(pieces.join(often, "key"), "shared-pieces")
+    discard(pieces)
     # equal pieces: all but the first repeat it as a whole
     place = F.struct("doc_id", "start")
     classes = shared.groupBy("key", "whole").agg(
@@ -298,12 +299,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, levels: int = LEVELS)
     words go. Windows are judged on the input. Words are runs of bytes other than
     space and \\x09-\\x0D, compared unchanged. A null text has no words; texts
     shorter than a window lose nothing; copies lose everything but the first.
-    Ids must be distinct and not null; other columns are not read. An empty table
+    A null id counts as the largest; rows of one id come in the order of their texts,
+    and of equal rows the first in that order keeps its words. Other columns are not read. An empty table
     gives an empty result.
     """
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ranges = repeated_ranges(own, window, levels).withColumnRenamed("doc_id", "_id")
-    joined = own.join(ranges, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "ranges")
+    own = by_place(docs)
+    ranges = repeated_ranges(own.select(F.col("place").alias("doc_id"), "text"), window, levels)
+    joined = own.join(ranges.withColumnRenamed("doc_id", "_id"), F.col("place") == F.col("_id"), "left").select(
+        "doc_id", "text", "ranges"
+    )
     return joined.mapInArrow(_kept(window), "doc_id long, n_words long, n_removed long, kept string")
 
 

@@ -34,13 +34,26 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    table = spark.read.schema(frame.schema).parquet(path)
+    table.written_at = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table of ``written`` once what was made of it is written too; other frames are left alone."""
+    path = vars(table).get("written_at")
+    if path:
+        _delete(table.sparkSession, path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_written(spark: SparkSession) -> None:
     """Delete every table that ``written`` left in the shared folder; call it when no result is read any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/llm")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_folder(spark)}/llm")
 
 
 _shipped: set[str] = set()
@@ -63,6 +76,23 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def by_place(docs: DataFrame) -> DataFrame:
+    """``(place, doc_id, text)``: distinct numbers in the order of the ids.
+
+    Places are the ids themselves where these are distinct and not null. Otherwise
+    the rows are sorted by id, nulls last, and text, and numbered in a written table.
+    """
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    odd = own.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1 OR doc_id IS NULL")
+    if odd.isEmpty():
+        return own.select(F.col("doc_id").alias("place"), "doc_id", "text")
+    # equal rows are many places in a row, so they are told apart for the ranges of the sort
+    ordered = own.withColumn("tie", F.monotonically_increasing_id()).orderBy(
+        F.asc_nulls_last("doc_id"), "text", "tie"
+    )
+    return written(ordered.select(F.monotonically_increasing_id().alias("place"), "doc_id", "text"), "places")
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """``(node, component)`` for the nodes of ``edges(a, b)``: the smallest node reachable.
 
@@ -100,6 +130,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             ).first()
             for frame in (links, after)
         ]
+        discard(links)
         links = after
         if tuple(sums[0]) == tuple(sums[1]):
             break

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm.shared import documents, mix, powers, table_of, written
+from tallyworks.llm.shared import by_place, discard, documents, mix, powers, table_of, written
 from tallyworks.llm.vectors import in_groups, runs
 
 LENGTH = 200
@@ -287,6 +287,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
             F.count(F.lit(1)).alias("c"), (F.min("whole") != F.max("whole")).alias("varied")
         ).where("c > 1").select("key", "varied", (F.col("varied") & (F.col("c") > fitting)).alias("crowded"))
         shared = written(pieces.join(often, "key"), "shared-byte-pieces")
+        discard(pieces)
         classes = shared.groupBy("key", "whole").agg(
             F.min(F.struct("doc_id", "start")).alias("at"), F.first("n").alias("n"), F.first("varied").alias("varied"),
             F.first("crowded").alias("crowded"), F.count(F.lit(1)).alias("c"),
@@ -353,12 +354,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
     document or another, covers its bytes; covered bytes go, ``n_spans`` counts the runs of
     them. Strings are judged on the input and never cross documents. A null text
     is empty; texts shorter than ``length`` lose nothing; copies that are long enough lose
-    all. What is kept need not be valid UTF-8. Ids must be distinct and not null; other columns
-    are not read. An empty table gives an empty result.
+    all. What is kept need not be valid UTF-8. Rows with null or repeated ids are documents
+    of their own, each in the result. Other columns are not read. An empty table gives an empty result.
     """
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ranges = repeated_ranges(own, length, anchor).withColumnRenamed("doc_id", "_id")
-    joined = own.join(ranges, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "ranges")
+    own = by_place(docs)
+    ranges = repeated_ranges(own.select(F.col("place").alias("doc_id"), "text"), length, anchor)
+    joined = own.join(ranges.withColumnRenamed("doc_id", "_id"), F.col("place") == F.col("_id"), "left").select(
+        "doc_id", "text", "ranges"
+    )
     return joined.mapInArrow(_kept(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 

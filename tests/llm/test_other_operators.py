@@ -327,3 +327,41 @@ def test_mixture_with_null_and_repeated_ids(spark, ids):
     docs = spark.createDataFrame([(i, f"w{n}", "en", "src1", 2) for n, i in enumerate(ids)], COLUMNS)
     got = corpus_pipeline.mix_sources(spark, docs, SMALL).collect()
     assert len(got) == len(set(got)) == 6 and set(got) <= set(docs.collect())
+
+
+def test_mixture_of_rows_is_the_mixture_of_ids(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    times = {r["doc_id"]: r["times"] for r in mixing.mix(mixing.with_leaf(docs, mixing.words("text"))).collect()}
+    got = Counter(r["doc_id"] for r in mixing.choose(docs, mixing.words("text")).select("doc_id").collect())
+    assert got == times and len(got) > 10
+
+
+def test_mixture_shuffles_no_text(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    plan = mixing.choose(docs, mixing.words("text"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_equal_rows_are_used_together(spark):
+    docs = spark.createDataFrame([(i // 2, "one two", "en", "src1", 7) for i in range(10)], COLUMNS)
+    got = Counter(r["doc_id"] for r in mixing.choose(docs, mixing.words("text")).collect())
+    assert len(got) == 3 and set(got.values()) == {2}
+
+
+def test_stages_keep_columns_with_names_of_helpers(spark):
+    names = ["_row", "number", "row", "_spans", "domain", "tokens", "_order", "component_id"]
+    text = " ".join(f"w{i}" for i in range(30)) + " a@b.co"
+    docs = spark.createDataFrame([(1, text, "en", "src1", 5), (2, text, "en", "src1", 5)], COLUMNS)
+    docs = docs.select("*", *[F.lit(f"own {n}").alias(n) for n in names])
+    first = corpus_pipeline.drop_near_copies(spark, docs, SMALL)
+    assert first.collect() == docs.where("doc_id = 1").collect()
+    assert {tuple(r) for r in mixing.choose(docs, mixing.words("text"), share=1.0).collect()} == {
+        tuple(r) for r in docs.collect()
+    }
+
+
+def test_neighbours_with_null_ids(spark):
+    rows = [(None, [1.0, 0.0]), (0, [1.0, 0.1]), (1, [1.0, 0.2]), (2, [0.0, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collisions.nearest_neighbours(vectors, "vec_id % 100 = 0").collect()
+    assert [(r["query_id"], r["rank"], r["vec_id"]) for r in sorted(got)] == [(0, 1, 1), (0, 2, 2)]

@@ -266,3 +266,22 @@ def test_a_very_long_text(spark):
     assert kept[1]["n_words"] == 120_000
     assert {r[0]: r[2] for r in ngrams.similar_groups(docs).collect()} == {1: 1, 2: 2, 3: 3}
     assert pii.detect(docs).where(F.size("spans") > 0).count() == 0
+
+
+def test_repeats_with_null_and_repeated_ids(spark):
+    """Null ids come last, rows of one id by text; of equal rows one keeps its words."""
+    shared, other = (" ".join(f"{c}{i}" for i in range(25)) for c in "xy")
+    rows = [(None, shared), (7, "b " + shared), (7, "a " + shared), (None, None), (9, other), (9, other)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = repeats.remove_repeats(docs).select("doc_id", "n_words", "n_removed").collect()
+    expected = [(None, 25, 25), (7, 26, 25), (7, 26, 0), (None, 0, 0), (9, 25, 0), (9, 25, 25)]
+    assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
+
+
+def test_byte_repeats_with_null_and_repeated_ids(spark):
+    shared = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(300))
+    rows = [(None, shared), (7, "-" + shared), (7, "short"), (None, None), (9, "+" + shared[:150])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = suffixes.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans").collect()
+    expected = [(None, 300, 300, 1), (7, 301, 300, 1), (7, 5, 0, 0), (None, 0, 0, 0), (9, 151, 0, 0)]
+    assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
