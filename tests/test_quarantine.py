@@ -88,3 +88,16 @@ def test_common_pieces_are_split(spark):
     )
     chosen = quarantine.rarest_grams(probes, rows, 1 << 14).collect()
     assert {(r["gram"], r["df"]) for r in chosen} == {("ABCDEFGHIJ", 2000)}
+
+
+def test_more_keys_than_the_filter_holds(spark, monkeypatch):
+    """The filter that the driver hands out stays small however many keys there are, and goes on dropping pieces."""
+    assert quarantine._filter_bits(10**9) <= 1 << 24
+    monkeypatch.setattr(quarantine, "MOST_BITS", 1 << 14)
+    rows = spark.range(4000).selectExpr("concat('row ', id, ',some,other,text,S', lpad(cast(id * 3 AS string), 9, '0')) AS original_row")
+    keys = spark.range(9000).selectExpr("concat('S', lpad(cast(id AS string), 9, '0')) AS entity_key")
+    pieces = quarantine.pieces_in(rows, keys.toDF("gram"), 1 << 14)
+    assert pieces.count() < 8000
+    found = keys_found_in_rows(keys.union(spark.sql("VALUES ('S00%2_7'), ('text,S00000'), ('text,S00001')")), rows)
+    wanted = [f"S{i:09d}" for i in range(0, 9000, 3)] + ["S00%2_7", "text,S00000", "text,S00001"]
+    assert sorted(r[0] for r in found.collect()) == sorted(wanted)
