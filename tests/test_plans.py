@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyworks.operators import reports
-from tallyworks.plans import catalogue, standins
+from tallyworks.plans import catalogue, chains, standins
 from tallyworks.sinks import tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -110,3 +110,8 @@ def test_stems_are_computed_once_per_token(spark):
     text = plan(catalogue.document_frequency(spark, FOLDER))
     assert "Filter ((size(" not in text
 
+
+
+def test_document_folders_are_opened_once(spark):
+    """The passes over the documents read a table, not one file for each document again."""
+    assert "FileScan text" not in plan(chains.chain_tfidf(spark, FOLDER))
