@@ -1,6 +1,8 @@
 """Whole jobs from text files to text files, each job reading what the one before wrote."""
 
+import glob
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,3 +64,25 @@ def test_document_frequency_then_tf_idf(spark, folder):
         ("3", "histori"): pytest.approx(math.log(5)),
         ("3", "world"): pytest.approx(math.log(3)),
     }
+
+
+def test_documents_as_folders(spark, tmp_path):
+    """One folder and one file a document, whatever its id; no files beside them, which cost more to write than the documents."""
+    rows = [("a b", "one"), ("x/y=1", "two"), ("50%", None), ("ü+'\"", "drei"), ("d", "first"), ("d", "second"), (None, "n"), ("", "e")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    path = str(tmp_path / "documents")
+    text_sinks.write_documents(docs, path)
+    folders = glob.glob(f"{path}/shelf=*/document=*")
+    assert corpus.finished(spark, path) == path
+    assert len(folders) == 7 and {len(os.listdir(f)) for f in folders} == {1}  # no value and the empty one share a name on two shelves
+    found = sorted(tuple(r) for r in corpus.read_document_folders(spark, path).collect())
+    nameless = "__HIVE_DEFAULT_PARTITION__"
+    assert found == sorted([(doc_id or nameless, text or "") for doc_id, text in rows])
+    # the folders are those that Spark makes, but for names that its JVM may not be able to write
+    plain = docs.where("doc_id NOT LIKE 'ü%' OR doc_id IS NULL")
+    by_spark = str(tmp_path / "by-spark")
+    plain.selectExpr("doc_id AS document", "text").write.partitionBy("document").text(by_spark)
+    made = {f for f in os.listdir(by_spark) if f.startswith("document=")}
+    assert made == {os.path.basename(f) for f in folders if "%C3%BC" not in f}
+    with pytest.raises(FileExistsError):
+        text_sinks.write_documents(docs, path)
