@@ -14,7 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 from itertools import islice
 
@@ -28,6 +28,8 @@ from tallyworks.llm.shared import documents
 MAX_STATES = 1 << 18
 MAX_KNOWN = 3 << 18
 PIECES_AT_ONCE = 1 << 16
+# Bytes of a piece that may be read without states.
+SHORT = 48
 
 # Fixed value: the pattern of the public byte-level vocabulary, for which texts may be cut at single spaces.
 SPACED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -47,7 +49,8 @@ class Transducer:
         self.max_states = max_states
         self.prefixes = {token[:i] for token in ranks for i in range(1, len(token))}
         self.code = {token: rank.to_bytes(4, "little") for token, rank in ranks.items()}
-        self.halves: dict[bytes, tuple[bytes, bytes] | None] = {}
+        # a single byte is made by no merge, but is there from the start
+        self.halves: dict[bytes, tuple[bytes, bytes] | None] = {token: (b"", token) for token in ranks if len(token) == 1}
         self._reset()
 
     def _reset(self) -> None:
@@ -113,22 +116,38 @@ class Transducer:
         self.neighbours[a, b] = known
         return known
 
+    def _last(
+        self, before: bytes, read: bytes, last: Sequence[bytes], live: Iterable[int], end: int
+    ) -> tuple[bytes, list[int]]:
+        """The last token of ``read[:end + 1]``, and where a longer token begins that goes on."""
+        ranks, halves, neighbours, prefixes = self.ranks, self.halves, self.neighbours, self.prefixes
+        found, going = b"", []
+        for start in (*live, end):  # exactly one of these tokens fits what comes before it
+            token = read[start:end + 1]
+            if not found and token in ranks and (halves.get(token) or self._halves(token)):
+                previous = last[start] if start else before
+                if not previous:
+                    found = token
+                else:
+                    known = neighbours.get((previous, token))
+                    if self._may_follow(previous, token) if known is None else known:
+                        found = token
+            if token in prefixes:
+                going.append(start)
+        return found, going
+
     def _step(self, number: int, byte: int) -> tuple[int, bytes]:
         before, pending, last, live = self.states[number]
         end = len(pending)
         pending += bytes((byte,))
-        starts = (*live, end)
-        for start in starts:  # exactly one of these tokens fits what comes before it
-            token = pending[start:]
-            if token in self.ranks and (len(token) == 1 or self._halves(token)):
-                previous = last[start] if start else before
-                if not previous or self._may_follow(previous, token):
-                    break
-        last = (*last, token)
-        live = tuple([start for start in starts if pending[start:] in self.prefixes])
+        token, going = self._last(before, pending, last, live, end)
+        last, live = (*last, token), tuple(going)
         end += 1
         ids = b""
-        if not live or live[0]:
+        if not live:  # nothing goes on: all is settled
+            ids = self._ids(last, end)
+            before, pending, last = token, b"", (b"",)
+        elif live[0]:
             # What every possible continuation shares: the tokens up to the last
             # boundary through which the encodings to all live places pass.
             boundaries, commit = {end}, end
@@ -148,7 +167,16 @@ class Transducer:
         self.moves[256 * number + byte] = move
         return move
 
-    def _ids(self, last: tuple[bytes, ...], end: int) -> bytes:
+    def _rest(self, number: int, rest: bytes) -> bytes:
+        """The ids from a state to the end of a piece, without states for what is read."""
+        before, pending, last, live = self.states[number]
+        read, last = pending + rest, list(last)
+        for end in range(len(pending), len(read)):
+            token, live = self._last(before, read, last, live, end)
+            last.append(token)
+        return self._ids(last, len(read))
+
+    def _ids(self, last: Sequence[bytes], end: int) -> bytes:
         """The ids of the tokens up to ``end``."""
         ids = b""
         while end:
@@ -157,15 +185,25 @@ class Transducer:
         return ids
 
     def encode(self, piece: bytes) -> bytes:
-        """The ids of one piece as little-endian 32-bit numbers. A piece that is a token is that token."""
+        """The ids of one piece as little-endian 32-bit numbers. A piece that is a token is that token.
+
+        Most pieces not met before end in bytes that no other piece shares, so a short piece makes one state where it leaves
+        those that are there, and is read to its end without any.
+        """
         if piece in self.code:
             return self.code[piece]
         if len(self.states) > self.max_states:
             self._reset()
         number, out, moves = self.start, [], self.moves
-        for byte in piece:
-            move = moves.get(256 * number + byte) or self._step(number, byte)
-            number, ids = move
+        short = len(piece) <= SHORT
+        for at, byte in enumerate(piece):
+            move = moves.get(256 * number + byte)
+            if move is None:
+                number, ids = self._step(number, byte)
+                if short:
+                    return b"".join((*out, ids, self._rest(number, piece[at + 1:])))
+            else:
+                number, ids = move
             if ids:
                 out.append(ids)
         _, pending, last, _ = self.states[number]

@@ -285,3 +285,21 @@ def test_byte_repeats_with_null_and_repeated_ids(spark):
     got = suffixes.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans").collect()
     expected = [(None, 300, 300, 1), (7, 301, 300, 1), (7, 5, 0, 0), (None, 0, 0, 0), (9, 151, 0, 0)]
     assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
+
+
+def test_short_pieces_make_one_state_each():
+    """A piece that leaves the known states is read to its end without more of them, to the same ids."""
+    import random
+
+    from tallyworks.llm import bpe
+
+    ranks = bpe.read_ranks(bpe.default_vocabulary()[0])
+    own, draw = bpe.Transducer(ranks), random.Random(5)
+    for length in (*range(1, 60), 200):
+        for letters in (b"abcdeinorst", bytes(range(256))):
+            piece = b" " + bytes(draw.choices(letters, k=length))
+            before = len(own.states)
+            by_definition = b"".join(own.code[part] for part in own.merge(piece))
+            assert own.encode(piece) == by_definition
+            assert length >= bpe.SHORT or len(own.states) <= before + 1
+            assert own.encode(piece) == by_definition
