@@ -164,6 +164,19 @@ def _piece_rows(out: list[tuple]) -> pa.RecordBatch:
     )
 
 
+def _sorted_places(value: np.ndarray, place: np.ndarray, values: int, places: int) -> tuple[np.ndarray, np.ndarray]:
+    """``place`` and ``value`` in the order of ``value``, then ``place``; they are below ``places`` and ``values``.
+
+    Numbers that hold both are sorted as they are, which is much faster than sorting places by values.
+    """
+    bits = int(places).bit_length()
+    if int(values).bit_length() + bits > 63:
+        order = np.lexsort((place, value))
+        return place[order], value[order]
+    both = np.sort((value << bits) | place)
+    return both & ((1 << bits) - 1), both >> bits
+
+
 def suffix_order(text: np.ndarray) -> np.ndarray:
     """The places of a text in the order of what follows them.
 
@@ -171,14 +184,14 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     follow the longest part, not the text.
     """
     rank = text.astype(np.int64)
-    have = 1
+    have, top = 1, max(len(text), int(text.max(initial=0))) + 2
     while True:
         after = np.full(len(rank), -1, dtype=np.int64)
         after[:-have] = rank[have:]
-        both = rank * (len(rank) + 512) + after + 1
-        order = np.argsort(both, kind="stable")
+        both = rank * top + after + 1
+        order, both = _sorted_places(both, np.arange(len(rank)), top * top, len(rank))
         new = np.ones(len(order), dtype=np.int64)
-        new[1:] = both[order[1:]] != both[order[:-1]]
+        new[1:] = both[1:] != both[:-1]
         new[0] = 0
         ranks = np.cumsum(new)
         rank = np.empty(len(order), dtype=np.int64)
@@ -203,16 +216,15 @@ def repeated_places(text: np.ndarray, length: int) -> np.ndarray:
     boundary = np.zeros(n + 1, dtype=bool)
     low, high = np.zeros(1, dtype=np.int64), np.full(1, n, dtype=np.int64)
     boundary[0] = boundary[n] = True
+    symbols = int(text.max()) + 1
     for _ in range(length):
         # extend every interval of this length backwards by each symbol that stands before it
         size = high - low
         member = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)
-        interval = np.repeat(np.arange(len(low)), size)
-        sort = np.lexsort((member, before[member], interval))
-        member, interval = member[sort], interval[sort]
-        symbol = before[member]
+        both = np.repeat(np.arange(len(low)) * symbols, size) + before[member]
+        member, both = _sorted_places(both, member, len(low) * symbols, n)
         begins = np.ones(len(member), dtype=bool)
-        begins[1:] = (interval[1:] != interval[:-1]) | (symbol[1:] != symbol[:-1])
+        begins[1:] = both[1:] != both[:-1]
         at = np.flatnonzero(begins)
         ends = np.append(at[1:], len(member)) - 1
         low, high = step[member[at]], step[member[ends]] + 1
