@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.llm.shared import (
-    components, discard, documents, mix, sliding_sums, word_bounds, word_hashes, written,
+    components, discard, documents, mix, sliding_sums, small_batches, word_bounds, word_hashes, written,
 )
 from tallyworks.llm.vectors import in_groups, runs
 
@@ -256,18 +256,21 @@ def _verify(percent: int):
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose whole sets are similar."""
+    """Those of ``pairs(a, b)`` whose whole sets are similar, as a written table."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    tokens = written(
-        docs.join(needed, F.col("doc_id") == F.col("_id")).select("doc_id", "text")
-        .mapInArrow(_hashes(width), "id long, tokens binary"), "ngram-sets",
-    )
-    joined = (
-        pairs.join(tokens.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
-        .join(tokens.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b")
-        .select("a", "b", "x", "y")
-    )
-    return joined.mapInArrow(_verify(percent), "a long, b long")
+    with small_batches(docs.sparkSession):
+        tokens = written(
+            docs.join(needed, F.col("doc_id") == F.col("_id")).select("doc_id", "text")
+            .mapInArrow(_hashes(width), "id long, tokens binary"), "ngram-sets",
+        )
+        joined = (
+            pairs.join(tokens.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
+            .join(tokens.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b")
+            .select("a", "b", "x", "y")
+        )
+        links = written(joined.mapInArrow(_verify(percent), "a long, b long"), "ngram-links")
+    discard(tokens)
+    return links
 
 
 def similar_groups(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
@@ -282,9 +285,10 @@ def similar_groups(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFr
     an empty result.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = written(own.mapInArrow(
-        _describe(width, percent), "doc_id long, n long, whole binary, prefix array<long>, parity binary"
-    ), "ngram-prefixes")
+    with small_batches(docs.sparkSession):
+        sets = written(own.mapInArrow(
+            _describe(width, percent), "doc_id long, n long, whole binary, prefix array<long>, parity binary"
+        ), "ngram-prefixes")
     classes = sets.where("n > 0").groupBy("whole").agg(F.min("doc_id").alias("first"))
     ones = sets.join(classes.select(F.col("first").alias("doc_id")), "doc_id", "left_semi")
     held = ones.select("doc_id", "n", F.explode("prefix").alias("token"))
@@ -316,7 +320,7 @@ def similar_groups(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFr
         .mapInArrow(_gather(percent), "a long, b long, open long"), "ngram-pairs",
     )
     pairs = gathered.where("open IS NULL").select("a", "b").distinct()
-    links = written(_linked(pairs, own, width, percent), "ngram-links")
+    links = _linked(pairs, own, width, percent)
     # what is still apart: open entries that hold more than one component
     parts = components(links, "ngram-components")
     still = entries.join(gathered.select(F.col("open").alias("entry")).distinct(), "entry", "left_semi")

@@ -6,6 +6,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +41,29 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return table
 
 
+# Of what Spark sends to a Python worker at once; by default 10,000 rows, which may be hundreds of megabytes of text.
+ROWS_SENT, BYTES_SENT = 1_000, 8 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Tables ``written`` inside go to Python in small batches, which both the worker and the executor hold whole."""
+    limits = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": ROWS_SENT, "spark.sql.execution.arrow.maxBytesPerBatch": BYTES_SENT,
+    }
+    before = {name: spark.conf.get(name, None) for name in limits}
+    for name, limit in limits.items():
+        spark.conf.set(name, str(limit))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def discard(table: DataFrame) -> None:
     """Delete a table of ``written`` once what was made of it is written too; other frames are left alone."""
     path = vars(table).get("written_at")
