@@ -339,8 +339,12 @@ def similar_groups(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFr
         in_groups(dealt, ["entry", "left", "right"], ["n"]).mapInArrow(_across(percent), "a long, b long")
         .distinct().join(pairs, ["a", "b"], "left_anti"), "ngram-more-pairs",
     )
-    links = links.unionByName(_linked(more, own, width, percent))
-    parts = components(links, "ngram-components")
+    for table in (entries, gathered):
+        discard(table)
+    others = _linked(more, own, width, percent)
+    parts = components(links.unionByName(others), "ngram-components")
+    for table in (more, links, others):
+        discard(table)
     named = (
         classes.join(parts, F.col("first") == F.col("node"), "left")
         .select("whole", F.coalesce("component", "first").alias("component"))

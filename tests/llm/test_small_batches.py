@@ -1,3 +1,5 @@
+import os
+
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -39,3 +41,20 @@ def test_the_join_reads_texts_in_small_batches(spark, monkeypatch):
     assert got == {1: 1, 2: 1, 3: 3, 4: 4}
     reading = [rows for name, rows in seen if name in ("ngram-prefixes", "ngram-sets", "ngram-links")]
     assert reading and max(reading) <= shared.ROWS_SENT
+
+
+def test_the_join_leaves_only_tables_that_its_result_reads(spark, monkeypatch):
+    made = {}
+
+    def written(frame, name):
+        table = shared.written(frame, name)
+        made.setdefault(name, []).append(table.written_at)
+        return table
+
+    monkeypatch.setattr(ngrams, "written", written)
+    words = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(words[:60 - i % 3])) for i in range(9)], "doc_id long, text string")
+    result = ngrams.similar_groups(docs, 3, 80)
+    left = {name for name, paths in made.items() for path in paths if os.path.exists(path.removeprefix("file:"))}
+    assert left == {"ngram-prefixes"}
+    assert {r["component_id"] for r in result.collect()} == {0}
