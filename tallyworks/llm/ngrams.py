@@ -9,24 +9,28 @@ frequent ones. Very long sets would have too many pairs; above a size their
 frequent tokens are entries of their own, and sizes near it have both kinds.
 
 Within an entry, sizes and parity bitmaps bound the difference of two sets from
-below and leave few candidates. Only components are wanted, so the sets of an
+below and leave few candidates. Sets of very different size cannot be similar,
+so an entry is kept apart by classes of size. Only components are wanted, so the sets of an
 entry are gathered around leaders first; after verification, only
-sets of different components are compared any more.
+sets of different components are compared any more, and a pair is named in the first
+entry that both sets are known to share.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.llm.shared import (
     components, discard, documents, mix, sliding_sums, small_batches, word_bounds, word_hashes, written,
 )
 from tallyworks.llm.vectors import in_groups, runs
+from tallyworks.operators.filters import bloom_filter, may_hold
 
 COMBINE = 2            # tokens that prefixes share, and that an entry for frequent tokens combines
 FREQUENT = 64          # prefixes that hold a token for it to count as frequent
@@ -34,6 +38,8 @@ PAIRED = 240           # sets up to this size pair their frequent tokens
 BLOCK = 4_096          # sets of an entry that one task compares with one another
 AT_ONCE = 1 << 18
 RECENT = 1 << 16       # pairs that a task remembers having named
+FEW = 8                # entries of a set that go with it, so that other entries leave its pairs to them
+FILTER_BITS, LEAST_BITS, MOST_BITS = 8, 1 << 14, 1 << 24    # an id, and of a filter; the largest is 2 MB
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -70,13 +76,15 @@ def _groups(batch):
         yield begin, texts[begin:]
 
 
-def _bits(n: int) -> int:
-    return 1 << min(max(int(n - 1).bit_length(), 8), 16)
+def _bits(n: int, percent: int) -> int:
+    """Three to six bits for each token by which two similar sets of ``n`` tokens may differ, within bounds."""
+    most = 2 * n * (100 - percent) // (100 + percent)
+    return 1 << min(max((3 * most).bit_length(), 8), 16)
 
 
-def _parity(tokens: np.ndarray) -> bytes:
+def _parity(tokens: np.ndarray, percent: int) -> bytes:
     """For each bit, whether an odd number of tokens falls on it. Sets differ by at least as much as their bitmaps."""
-    bits = _bits(len(tokens))
+    bits = _bits(len(tokens), percent)
     counts = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
@@ -97,7 +105,7 @@ def _describe(width: int, percent: int):
                     [batch.column(0).slice(begin, len(texts)), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                      pa.array(cut, pa.list_(pa.int64())),
-                     pa.array([_parity(s) for s in sets], pa.binary())],
+                     pa.array([_parity(s, percent) for s in sets], pa.binary())],
                     names=["doc_id", "n", "whole", "prefix", "parity"],
                 )
 
@@ -212,7 +220,10 @@ def _gather(percent: int):
 
 
 def _across(percent: int):
-    """All pairs of different components that may be similar, in one pair of blocks of an entry."""
+    """All pairs of different components that may be similar, in an entry of one block or in a block and a chunk of others.
+
+    A pair that also meets in an earlier one of the ``few`` first entries of both sets is left to that entry.
+    """
     def across(batches):
         seen: set[tuple[int, int]] = set()
         for table in runs(batches, ["entry", "left", "right"]):
@@ -222,13 +233,19 @@ def _across(percent: int):
             if (part == part[0]).all():
                 continue
             first = table["is_left"].to_numpy(zero_copy_only=False).astype(bool)
-            same = table["left"][0].as_py() == table["right"][0].as_py()
+            same = table["blocks"][0].as_py() == 1
+            few = np.full((len(ids), FEW), np.iinfo(np.int64).max)
+            for i, row in enumerate(table["few"].to_pylist()):
+                few[i, :len(row)] = row
             entry = _Entry(ids, table["n"].to_numpy(), table["parity"].to_pylist(), percent)
-            part, first, ids = part[entry.order], first[entry.order], entry.ids.tolist()
+            part, first, few, ids = part[entry.order], first[entry.order], few[entry.order], entry.ids.tolist()
+            earlier = few < table["entry"][0].as_py()
             named: set[tuple[int, int]] = set()
             for i in range(len(ids)):
                 rows, _ = entry.near(i)
                 rows = rows[(part[rows] != part[i]) & (same | (first[rows] != first[i]))]
+                if len(rows):
+                    rows = rows[~(np.isin(few[rows], few[i]) & earlier[rows]).any(axis=1)]
                 named |= {(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in rows.tolist()}
             if fresh := _new(named, seen):
                 yield pa.RecordBatch.from_arrays(
@@ -258,9 +275,12 @@ def _verify(percent: int):
 def _linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of ``pairs(a, b)`` whose whole sets are similar, as a written table."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
+    # texts are wide and few of them are in a pair; the filter's size decides how many others are shuffled for the join
+    bits = min(max(1 << (2 * FILTER_BITS * pairs.count()).bit_length(), LEAST_BITS), MOST_BITS)
+    likely = docs.where(may_hold(bloom_filter(needed, "_id", bits), F.col("doc_id"), bits))
     with small_batches(docs.sparkSession):
         tokens = written(
-            docs.join(needed, F.col("doc_id") == F.col("_id")).select("doc_id", "text")
+            likely.join(needed, F.col("doc_id") == F.col("_id")).select("doc_id", "text")
             .mapInArrow(_hashes(width), "id long, tokens binary"), "ngram-sets",
         )
         joined = (
@@ -273,6 +293,33 @@ def _linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     return links
 
 
+def _by_size(entries: DataFrame, percent: int) -> DataFrame:
+    """Entries by classes of size: each set is in its own class and in the next, so that sets of similar size share one."""
+    # a class is a little wider than the sizes of similar sets lie apart, so rounding cannot part them
+    width = 1.001 * max(math.log(100 / percent), 0.01)
+    own = F.floor(F.log("n") / width)
+    return entries.withColumn("class", F.explode(F.array(own, own + 1))).select(
+        "doc_id", "n", F.xxhash64("entry", "class").alias("entry")
+    )
+
+
+def _dealt(apart: DataFrame, block: Column) -> DataFrame:
+    """Entries of several blocks: each block meets, chunk by chunk, the sets that are not of the entry's main component.
+
+    The main component is known to be one, so its sets need not meet each other and are not repeated for each block.
+    """
+    chunks = F.when(F.col("blocks") > 1, F.ceil(F.col("apart") / BLOCK)).otherwise(1).cast("int")
+    chunk = F.pmod(F.xxhash64("entry", "doc_id"), "chunks").cast("int")
+    place = lambda left, right, is_left: F.struct(left.alias("left"), right.alias("right"), F.lit(is_left).alias("is_left"))
+    stays = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda x: place(F.col("mine"), x, True))
+    visits = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: place(x, F.col("chunk"), False))
+    return (
+        apart.withColumn("mine", block).withColumn("chunks", chunks).withColumn("chunk", chunk)
+        .withColumn("places", F.when((F.col("blocks") > 1) & (F.col("component") != F.col("main")), F.concat(stays, visits)).otherwise(stays))
+        .select("entry", "doc_id", "n", "blocks", "component", F.inline("places"))
+    )
+
+
 def similar_groups(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row.
 
@@ -296,27 +343,31 @@ def similar_groups(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFr
     shared = written(held.join(often, "token"), "ngram-tokens")
     frequent = shared.where(F.col("c") > FREQUENT)
     alone = shared.where((F.col("c") <= FREQUENT) | (100 * F.col("n") >= percent * PAIRED)).select(
-        "doc_id", F.col("token").alias("entry")
+        "doc_id", "n", F.col("token").alias("entry")
+    )
+    several = frequent.where(F.col("n") <= PAIRED).groupBy("doc_id", "n").agg(
+        F.array_sort(F.collect_list("token")).alias("t")
     )
-    several = frequent.where(F.col("n") <= PAIRED).groupBy("doc_id").agg(F.array_sort(F.collect_list("token")).alias("t"))
-    paired = several.select("doc_id", F.explode(F.flatten(F.transform(
+    paired = several.select("doc_id", "n", F.explode(F.flatten(F.transform(
         "t", lambda x, i: F.transform(F.slice("t", i + 2, F.size("t")), lambda y: F.xxhash64(x, y))
     ))).alias("entry"))
-    entries = alone.unionByName(paired)
+    entries = _by_size(alone.unionByName(paired), percent)
     # Similar sets share many entries: of the entries that hold the same sets, one is kept.
     members = entries.groupBy("entry").agg(
         F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
-        F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("sum"),
-    ).where("c > 1")
+        F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("sum"), F.min("n").alias("least"), F.max("n").alias("most"),
+    ).where((F.col("c") > 2) | (F.col("c") > 1) & (100 * F.col("least") >= percent * F.col("most")))
     sizes = members.groupBy("c", "low", "high", "sum").agg(F.min("entry").alias("entry")).select("entry", "c")
     entries = written(
-        entries.join(sizes, "entry").join(ones.select("doc_id", "n", "parity"), "doc_id")
-        .withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int")).drop("c"), "ngram-entries",
+        entries.join(sizes, "entry").withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int")).drop("c"),
+        "ngram-entries",
     )
     discard(shared)
+    # bitmaps are far wider than the rest of an entry's rows, so they join them last
+    bitmaps = sets.select("doc_id", "parity")
     block = F.pmod(F.xxhash64("doc_id", "entry"), F.col("blocks")).cast("int")
     gathered = written(
-        in_groups(entries.withColumn("part", block), ["entry", "part"], ["n"])
+        in_groups(entries.join(bitmaps, "doc_id").withColumn("part", block), ["entry", "part"], ["n"])
         .mapInArrow(_gather(percent), "a long, b long, open long"), "ngram-pairs",
     )
     pairs = gathered.where("open IS NULL").select("a", "b").distinct()
@@ -328,18 +379,21 @@ def similar_groups(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFr
         still.join(parts, F.col("doc_id") == F.col("node"), "left")
         .withColumn("component", F.coalesce("component", "doc_id")).drop("node")
     )
-    mixed = placed.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
-    dealt = (
-        placed.join(mixed.select("entry"), "entry").withColumn("mine", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("left", F.least("mine", "other")).withColumn("right", F.greatest("mine", "other"))
-        .withColumn("is_left", F.col("mine") <= F.col("other"))
+    mixed = (
+        placed.groupBy("entry", "component").agg(F.count(F.lit(1)).alias("c"))
+        .groupBy("entry").agg(
+            F.max(F.struct("c", "component")).alias("most"), F.sum("c").alias("c"), F.count(F.lit(1)).alias("components")
+        ).where("components > 1")
+        .select("entry", F.col("most.component").alias("main"), (F.col("c") - F.col("most.c")).alias("apart"))
     )
+    apart = written(placed.join(mixed, "entry"), "ngram-apart")
+    few = apart.groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_list("entry")), 1, FEW).alias("few"))
+    dealt = _dealt(apart, block).join(few, "doc_id").join(bitmaps, "doc_id")
     more = written(
         in_groups(dealt, ["entry", "left", "right"], ["n"]).mapInArrow(_across(percent), "a long, b long")
         .distinct().join(pairs, ["a", "b"], "left_anti"), "ngram-more-pairs",
     )
-    for table in (entries, gathered):
+    for table in (entries, gathered, apart):
         discard(table)
     others = _linked(more, own, width, percent)
     parts = components(links.unionByName(others), "ngram-components")
