@@ -86,3 +86,52 @@ def test_documents_as_folders(spark, tmp_path):
     assert made == {os.path.basename(f) for f in folders if "%C3%BC" not in f}
     with pytest.raises(FileExistsError):
         text_sinks.write_documents(docs, path)
+
+
+def odd_folders(tmp_path):
+    """Folders at several depths, files and folders that readers skip, line ends of every kind, bytes that are no UTF-8."""
+    files = {
+        "shelf=1/document=a/part-0.txt": b"one\ntwo\r\n\nlast", "shelf=1/document=a/part-1.txt": b"more\n", "shelf=1/document=b/_part-0.txt.7": b"half",
+        "shelf=1/document=b/.part-0.txt.crc": b"crc", "shelf=1/document=b/part-0.txt": b"", "shelf=2/deep/document=50%25 a+b/part-0.txt": b"\xef\xbb\xbfmark\n",
+        "shelf=2/document=c/part-0.txt": b"\xef\xbb\xbf", "shelf=2/document=d/part-0.txt": b"\n", "document=%C3%BC/part-0.txt": "\u00fc\u2028\x85x\n".encode(),
+        "_SUCCESS": b"", "_temporary/document=e/part-0.txt": b"no", "loose.txt": b"no folder\n", "document=f/below/part-0.txt": b"below",
+        "shelf=2/document=g/x._COPYING_": b"no", "shelf=2/_x=1/document=h/part-0.txt": b"\xff\xfe",
+    }
+    for name, data in files.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(data)
+    return str(tmp_path)
+
+
+def test_tasks_read_folders_as_spark_does(spark, tmp_path):
+    path = odd_folders(tmp_path)
+    lines = corpus.read_document_folders(spark, path)
+    found = lines.selectExpr("doc_id", "cast(line AS binary) AS line").collect()
+    expected = corpus._lines_by_spark(spark, [path]).selectExpr("doc_id", "cast(line AS binary) AS line").collect()
+    assert sorted((r[0], bytes(r[1])) for r in found) == sorted((r[0], bytes(r[1])) for r in expected)
+    assert {r[0] for r in found} == {"a", "50% a+b", "d", "\u00fc", "", "h"} and len(found) == 11
+    assert corpus.read_document_folders(spark, f"{path}/shelf=1/document=a").count() == 5
+
+
+def test_the_driver_holds_no_places_of_documents(spark, tmp_path):
+    """A place a document in the plan, as Spark's reader has, fills the driver; the corpus is not taken to be small either."""
+    lines = corpus.read_document_folders(spark, odd_folders(tmp_path))
+    assert lines.inputFiles() == []
+    assert lines._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > 1 << 40
+
+
+def test_a_store_of_many_files_is_read_in_rounds(spark, tmp_path, monkeypatch):
+    path = odd_folders(tmp_path / "corpus")
+    lines = corpus._lines_by_spark(spark, [path])
+    expected = sorted(tuple(r) for r in lines.collect())
+    read, by_one = [], corpus._lines_by_spark
+    monkeypatch.setattr(corpus, "_lines_by_spark", lambda s, places: read.append(places) or by_one(s, places))
+    monkeypatch.setattr(corpus, "FILES_AT_ONCE", 3)
+    # the same folder by a file system that is not called "file"
+    store = f"viewfs://corpus{path}"
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.corpus.link./" + path.split("/")[1], f"file:///{path.split('/')[1]}")
+    assert sorted(tuple(r) for r in corpus.read_document_folders(spark, store).collect()) == expected
+    assert len(read) > 2 and sorted(os.path.basename(p) for places in read for p in places) == [
+        "document=%C3%BC", "document=f", "loose.txt", "shelf=1", "shelf=2"]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        corpus.read_document_folders(spark, f"{path}/missing")
