@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyworks.operators import cooccurrence, words
+from tallyworks.plans import chains
+from tallyworks.sinks import tables
 from tallyworks.sinks import text as text_sinks
 from tallyworks.sources import corpus
 
@@ -135,3 +137,18 @@ def test_a_store_of_many_files_is_read_in_rounds(spark, tmp_path, monkeypatch):
         "document=%C3%BC", "document=f", "loose.txt", "shelf=1", "shelf=2"]
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         corpus.read_document_folders(spark, f"{path}/missing")
+
+
+def test_the_scores_are_made_without_a_list_of_files_in_the_driver(spark, tmp_path, monkeypatch):
+    rows = [(1, "war and\nstates war"), (2, "states of"), (3, None), (3, "war"), (None, "states"), (4, "war"), (5, "other"), (6, "x"), (7, "y")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    kept, scratch = {}, tables.scratch
+    monkeypatch.setattr(tables, "scratch", lambda frame, name: kept.setdefault(name, frame) and scratch(frame, name))
+    found = {(r["doc_id"], r["term"]): r["tfidf"] for r in chains.chain_tfidf(spark, str(tmp_path)).collect()}
+    assert kept["corpus-lines"].inputFiles() == []
+    war, other = math.log(2), math.log(4)  # 8 folders by one more than the lines with the term: 8 // 4 and 8 // 2
+    nameless = "__HIVE_DEFAULT_PARTITION__"
+    assert {k: v for k, v in found.items() if k[1] in ("war", "other")} == {
+        ("1", "war"): pytest.approx(2 * war, abs=1e-6), ("3", "war"): pytest.approx(war, abs=1e-6),
+        ("4", "war"): pytest.approx(war, abs=1e-6), ("5", "other"): pytest.approx(other, abs=1e-6)}
+    assert {k[0] for k in found if k[1] == "state"} == {"1", "2", nameless}
