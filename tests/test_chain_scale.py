@@ -1,13 +1,16 @@
 """Figures of the warehouse build that grow with its input: keys counted exactly, dates parsed."""
 
 import datetime
+import os
 import random
+import time
 
 from pyspark.sql import functions as F
 
 from tallyworks.functions import records as R
 from tallyworks.operators import joins
-from tallyworks.plans import standins, warehouse
+from tallyworks.plans import chains, standins, warehouse
+from tallyworks.sinks import tables
 
 
 def frames(spark):
@@ -61,3 +64,53 @@ def test_short_dates_are_those_of_the_pattern(spark):
     assert {r["t"]: r["got"] for r in both}["29/02/04"] == datetime.date(2004, 2, 29)
     plan = frame.select(R.short_date("t"))._jdf.queryExecution().optimizedPlan().toString()
     assert "gettimestamp" not in plan.lower()
+
+
+def bytes_below(folder, part=""):
+    return sum(os.path.getsize(f"{d}/{f}") for d, _, files in os.walk(folder) for f in files if part in f"{d}/{f}")
+
+
+def test_the_extracts_are_packed_and_go_once_they_are_read(spark, tmp_path, monkeypatch):
+    spark.range(20_000).selectExpr(
+        "id div 4 * 7 AS l_orderkey", "id % 1999 + 1 AS l_partkey", "id % 97 + 1 AS l_suppkey", "cast(id % 4 + 1 AS int) AS l_linenumber",
+        "cast(id % 49 + 1 AS double) AS l_quantity", "'A' AS l_returnflag", "'O' AS l_linestatus",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(5_000).selectExpr(
+        "id * 7 AS o_orderkey", "id % 1500 AS o_custkey", "'O' AS o_orderstatus", "'high' AS o_orderpriority",
+        "timestamp'2001-02-03 00:00:00' AS o_orderdate",
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    folder, shared = str(tmp_path), str(tmp_path / "shared")
+    sources = standins.attendance(spark, folder), standins.enrollment(spark, folder), standins.grade_roster(spark, folder)
+    built = warehouse.build_warehouse(*sources)
+    expected = sorted(map(str, built.collect()))
+    plain = str(tmp_path / "plain")
+    standins.attendance_text(spark, folder).write.csv(plain)
+    read, left = [], []
+    build, layout = warehouse.build_warehouse, tables.overwrite_partitions
+    monkeypatch.setattr(tables, "shared_folder", lambda _: shared)
+    monkeypatch.setattr(warehouse, "build_warehouse", lambda *f, **o: read.append(bytes_below(shared, "ttendance")) or build(*f, **o))
+    monkeypatch.setattr(tables, "overwrite_partitions", lambda *a: left.append(os.listdir(f"{shared}/tallyworks")) or layout(*a))
+    facts = chains._warehouse_layout(spark, folder)
+    assert sorted(map(str, facts.select(*built.columns).collect())) == expected and expected
+    assert 0 < read[0] < bytes_below(plain) / 2
+    assert left == [["scratch"]]
+
+
+def test_an_intermediate_table_leaves_no_shuffle_files(spark):
+    dirs = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs())
+
+    def shuffled():
+        return {f for d in dirs for _, _, files in os.walk(str(d)) for f in files if f.startswith("shuffle_") and f.endswith(".data")}
+
+    before = shuffled()
+    numbers = spark.range(1_000).selectExpr("id % 700 AS k").distinct()
+    written = tables.scratch(numbers, "numbers")
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffled() <= before
+    numbers.collect()
+    assert not shuffled() <= before  # a plain query leaves them
+    assert written.count() == 700
+    assert spark.conf.get(tables.DROP_SHUFFLES) == "false"
